@@ -32,6 +32,4 @@ def as_seconds(c: Column | str) -> Column:
 def int_through_double(c: Column) -> Column:
     """Whole part of a number text: "3.7" gives 3, an unreadable text gives null."""
     number = c.try_cast("double")
-    return F.when(~F.isnan(number), F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number))).cast(
-        "int"
-    )
+    return F.when(number.between(-(2.0**31), 2.0**31 - 1), number.cast("int"))

@@ -113,40 +113,55 @@ def transactions(
         "order_key": ("", key),
         "customer_key": ("", cust),
     }
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    nation = table(spark, sf_dir, "nation")
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    lines = first_line_facts(table(spark, sf_dir, "lineitem"))
+
+    def read(name: str, *pairs: str) -> DataFrame:
+        return table(spark, sf_dir, name).selectExpr(*pairs)
+
     joins = {
-        "customer": ("", lambda d: d.join(customer, cust == F.col("c_custkey"), "left")),
+        "customer": (
+            "",
+            lambda d: d.join(
+                read("customer", "c_custkey", "c_nationkey", "c_mktsegment"),
+                cust == F.col("c_custkey"),
+                "left",
+            ),
+        ),
         "applicant": (
             "customer",
             lambda d: d.join(
-                nation.select(
-                    F.col("n_nationkey").alias("applicant_key"), F.col("n_name").alias("applicant_name")
-                ),
+                read("nation", "n_nationkey AS applicant_key", "n_name AS applicant_name"),
                 F.col("c_nationkey") == F.col("applicant_key"),
                 "left",
             ),
         ),
-        "lines": ("", lambda d: d.join(lines, key == F.col("l_orderkey"), "left")),
+        "lines": (
+            "",
+            lambda d: d.join(
+                first_line_facts(table(spark, sf_dir, "lineitem")), key == F.col("l_orderkey"), "left"
+            ),
+        ),
         "supplier": (
             "lines",
-            lambda d: d.join(supplier, F.col("first_suppkey") == F.col("s_suppkey"), "left"),
+            lambda d: d.join(
+                read("supplier", "s_suppkey", "s_nationkey"),
+                F.col("first_suppkey") == F.col("s_suppkey"),
+                "left",
+            ),
         ),
         "beneficiary": (
             "supplier",
             lambda d: d.join(
-                nation.select(
-                    F.col("n_nationkey").alias("beneficiary_key"),
-                    F.col("n_name").alias("beneficiary_name"),
-                ),
+                read("nation", "n_nationkey AS beneficiary_key", "n_name AS beneficiary_name"),
                 F.col("s_nationkey") == F.col("beneficiary_key"),
                 "left",
             ),
         ),
-        "part": ("lines", lambda d: d.join(part, F.col("first_partkey") == F.col("p_partkey"), "left")),
+        "part": (
+            "lines",
+            lambda d: d.join(
+                read("part", "p_partkey", "p_type"), F.col("first_partkey") == F.col("p_partkey"), "left"
+            ),
+        ),
     }
     default = [c for c in specs if c not in ("order_key", "customer_key")]
     return _project(
@@ -271,23 +286,23 @@ def retail_events(
         "loyalty_flag": ("", F.when(F.col("l_returnflag") == "R", "Y").otherwise("N")),
         "part_key": ("", F.col("l_partkey")),
     }
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+
+    def dimension(name: str, fact_key: str, primary_key: str, *rest: str):
+        return lambda d: d.join(
+            table(spark, sf_dir, name).select(primary_key, *rest),
+            F.col(fact_key) == F.col(primary_key),
+            "left",
+        )
+
     joins = {
-        "supplier": ("", lambda d: d.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")),
+        "supplier": ("", dimension("supplier", "l_suppkey", "s_suppkey", "s_name", "s_nationkey")),
         "nation": (
             "supplier",
-            lambda d: d.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left"),
-        ),
-        "region": (
-            "nation",
-            lambda d: d.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left"),
+            dimension("nation", "s_nationkey", "n_nationkey", "n_name", "n_regionkey"),
         ),
-        "part": ("", lambda d: d.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")),
-        "orders": ("", lambda d: d.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")),
+        "region": ("nation", dimension("region", "n_regionkey", "r_regionkey", "r_name")),
+        "part": ("", dimension("part", "l_partkey", "p_partkey", "p_name", "p_type", "p_retailprice")),
+        "orders": ("", dimension("orders", "l_orderkey", "o_orderkey", "o_orderpriority")),
     }
     default = [c for c in specs if c != "part_key"]
     return _project(

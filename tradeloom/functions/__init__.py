@@ -8,7 +8,7 @@ from tradeloom.functions.casting import (
     as_smallint,
     int_through_double,
 )
-from tradeloom.functions.numeric import from_choices, join_reasons, ratio, round2
+from tradeloom.functions.numeric import computed_once, from_choices, join_reasons, ratio, round2
 from tradeloom.functions.text import clean, present, stripped
 
 __all__ = [
@@ -18,6 +18,7 @@ __all__ = [
     "as_seconds",
     "as_smallint",
     "clean",
+    "computed_once",
     "from_choices",
     "int_through_double",
     "join_reasons",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,3 +30,12 @@ def join_reasons(pairs: Sequence[tuple[Column, str]]) -> Column:
 def from_choices(c: Column, choices: Sequence[str]) -> Column:
     """The choice at position ``c`` modulo the number of choices."""
     return F.element_at(F.array(*[F.lit(x) for x in choices]), (c % len(choices) + 1).cast("int"))
+
+
+def computed_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters must not copy.
+
+    Spark moves a filter below the projection that defines its input and repeats the defining
+    expression for every reference. A generator of one row is a step that filters stay above.
+    """
+    return rows.select("*", F.explode(F.array(value)).alias(name))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions import join_reasons, ratio, round2
+from tradeloom.functions import computed_once, join_reasons, ratio, round2
 from tradeloom.schemas import (
     DEAD_LETTER_TOPIC,
     ENVELOPE,
@@ -59,7 +59,7 @@ def kafka_metadata_projection(log: DataFrame) -> DataFrame:
 
 def parse_envelope(records: DataFrame) -> DataFrame:
     """Add ``event``: the envelope read from ``json_value``. Unreadable text gives null fields."""
-    return records.withColumn("event", F.from_json("json_value", ENVELOPE))
+    return computed_once(records, "event", F.from_json("json_value", ENVELOPE))
 
 
 def valid_events(parsed: DataFrame, require_event_id: bool = True) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions import ratio, round2
+from tradeloom.functions import computed_once, ratio, round2
 from tradeloom.operators.valuation import fx_valuation
 from tradeloom.schemas import SLA_DAYS
 
@@ -230,10 +230,14 @@ def readable_amounts(lines: DataFrame, value: str = "value") -> DataFrame:
     there with a null text is kept, as the text "None"; a null amount is not a number.
     """
     fields = "product_type beneficiary_country currency amount".split()
-    parsed = lines.select(
-        F.from_json(value, ", ".join(f"{f} string" for f in fields)).alias("t"),
-        F.json_object_keys(value).alias("found"),
-    )
+    parsed = computed_once(
+        lines,
+        "line",
+        F.struct(
+            F.from_json(value, ", ".join(f"{f} string" for f in fields)).alias("t"),
+            F.json_object_keys(value).alias("found"),
+        ),
+    ).select("line.t", "line.found")
     amount = F.col("t.amount").try_cast("double").try_cast("decimal(28,8)")
     has_keys = F.size(F.array_intersect("found", F.array(*[F.lit(f) for f in fields]))) == len(fields)
     return parsed.select(

@@ -59,6 +59,8 @@ def with_relations(relations: str, sql: str) -> str:
         return sql.strip()
     parts = ",\n".join(f"{n} AS ({RELATIONS[n][1].strip()})" for n in ordered)
     body = sql.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {parts},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {parts},\n{body[5:]}"
     return f"WITH {parts}\n{body}"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("queries_trade", "queries_retail", "queries_events")
+MODULES = ("queries_trade", "queries_retail", "queries_events", "queries_models")
 
 
 def load() -> None:

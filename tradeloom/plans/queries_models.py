@@ -305,9 +305,12 @@ def _(spark, sf_dir):
     return forecast.monthly_volume(transactions(spark, sf_dir, ["issue_date"]))
 
 
-_HOLT_SQL = """WITH RECURSIVE m AS (SELECT product_type, CAST(date_trunc('month', CAST(issue_date AS DATE)) AS DATE) AS month,
-    CAST(count(*) AS DOUBLE) AS y, row_number() OVER (PARTITION BY product_type ORDER BY date_trunc('month', CAST(issue_date AS DATE))) AS i
-    FROM tx GROUP BY 1, date_trunc('month', CAST(issue_date AS DATE))),
+_HOLT_SQL = """WITH RECURSIVE c AS (SELECT product_type, CAST(date_trunc('month', CAST(issue_date AS DATE)) AS TIMESTAMP) AS month,
+    count(*) AS n FROM tx GROUP BY 1, 2),
+  d AS (SELECT product_type, unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS month FROM c GROUP BY 1),
+  m AS (SELECT d.product_type, CAST(d.month AS DATE) AS month, CAST(coalesce(n, 0) AS DOUBLE) AS y,
+    row_number() OVER (PARTITION BY d.product_type ORDER BY d.month) AS i
+    FROM d LEFT JOIN c ON c.product_type = d.product_type AND c.month = d.month),
   f AS (SELECT a.product_type, CAST(1 AS BIGINT) AS i, a.y AS level, b.y - a.y AS trend FROM m a
       JOIN m b ON b.product_type = a.product_type AND b.i = 2 WHERE a.i = 1
     UNION ALL SELECT f.product_type, m.i, 0.5e0 * m.y + (1.0e0 - 0.5e0) * (f.level + f.trend),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def stripped(c: Column | str) -> Column:
     """Drop carriage returns, then surrounding spaces."""
-    return F.trim(F.translate(F.col(c) if isinstance(c, str) else c, "\r", ""))
+    return F.trim(F.replace(F.col(c) if isinstance(c, str) else c, F.lit("\r"), F.lit("")))
 
 
 def clean(c: Column | str) -> Column:

@@ -17,8 +17,8 @@ from tradeloom.functions import (
     as_decimal,
     as_int,
     as_seconds,
-    as_smallint,
     clean,
+    computed_once,
     join_reasons,
     present,
     stripped,
@@ -50,11 +50,6 @@ def _below(number: Column, bound: int) -> Column:
     return number.isNull() | (number < bound)
 
 
-def _not_flag(name: str) -> Column:
-    # The flag columns are required, so a missing flag is as wrong as an unknown one.
-    return ~_holds(stripped(name).isin("Y", "N"))
-
-
 def clean_strings(rows: DataFrame) -> DataFrame:
     """Every string column without carriage returns and outer spaces, empty as null."""
     return rows.select(*[clean(c).alias(c) if t == "string" else F.col(c) for c, t in rows.dtypes])
@@ -90,21 +85,43 @@ def promotion_rules() -> Rules:
     }
 
 
+def read_sale_lines(staged: DataFrame) -> DataFrame:
+    """Cleaned text of every staged column, and next to it the values read from the text.
+
+    Each value is read once per row; the rules and the load then look at plain columns.
+    """
+    cleaned = {c: clean(c) for c in RETAIL_EVENTS_RAW.fieldNames()}
+    values = {
+        "read_timestamp": as_seconds("event_timestamp"),
+        "read_quantity": as_int("quantity"),
+        "read_unit_price": as_decimal("unit_price"),
+        "read_discount_amount": as_decimal("discount_amount"),
+        "read_final_price": as_decimal("final_price"),
+    }
+    line = F.struct(*[c.alias(n) for n, c in {**cleaned, **values}.items()])
+    return computed_once(staged, "line", line).select("line.*")
+
+
+SMALLINT_MAX = 32767
+
+
 def retail_event_rules() -> Rules:
+    """Rules on the columns of ``read_sale_lines``. A required value that is missing breaks its rule."""
+    quantity = F.col("read_quantity")
     return {
-        "event_id": ~present("event_id"),
-        "transaction_id": ~present("transaction_id"),
-        "store_id": ~present("store_id"),
-        "event_timestamp": as_seconds("event_timestamp").isNull(),
-        "product_id": ~present("product_id"),
-        "quantity": _not_above(as_smallint("quantity"), 0),
-        "unit_price": _not_above(as_decimal("unit_price"), 0),
-        "discount_amount": _below(as_decimal("discount_amount"), 0),
-        "final_price": _below(as_decimal("final_price"), 0),
-        "promotion_flag": _not_flag("promotion_flag"),
-        "loyalty_flag": _not_flag("loyalty_flag"),
+        "event_id": F.col("event_id").isNull(),
+        "transaction_id": F.col("transaction_id").isNull(),
+        "store_id": F.col("store_id").isNull(),
+        "event_timestamp": F.col("read_timestamp").isNull(),
+        "product_id": F.col("product_id").isNull(),
+        "quantity": _not_above(quantity, 0) | (quantity > SMALLINT_MAX),
+        "unit_price": _not_above(F.col("read_unit_price"), 0),
+        "discount_amount": _below(F.col("read_discount_amount"), 0),
+        "final_price": _below(F.col("read_final_price"), 0),
+        "promotion_flag": ~_holds(F.col("promotion_flag").isin("Y", "N")),
+        "loyalty_flag": ~_holds(F.col("loyalty_flag").isin("Y", "N")),
         "promotion_reference": promotion_reference_broken(
-            stripped("promotion_flag"), clean("promotion_id")
+            F.col("promotion_flag"), F.col("promotion_id")
         ),
     }
 
@@ -149,29 +166,31 @@ def typed_promotions(staged: DataFrame) -> DataFrame:
 def typed_retail_events(staged: DataFrame) -> DataFrame:
     """Valid sale lines with types."""
     typed = {
-        "event_timestamp": as_seconds("event_timestamp"),
-        "quantity": as_smallint("quantity"),
-        "unit_price": as_decimal("unit_price"),
-        "discount_amount": as_decimal("discount_amount"),
-        "final_price": as_decimal("final_price"),
-        "promotion_id": clean("promotion_id"),
-        "store_city": _cut("store_city", 100),
-        "province": _cut("province", 30),
-        "store_region": _cut("store_region", 30),
-        "product_name": _cut("product_name", 100),
-        "category": _cut("category", 30),
-        "payment_type": _cut("payment_type", 20),
+        "event_timestamp": F.col("read_timestamp"),
+        "quantity": F.col("read_quantity").cast("smallint"),
+        "unit_price": F.col("read_unit_price"),
+        "discount_amount": F.col("read_discount_amount"),
+        "final_price": F.col("read_final_price"),
     }
-    return staged.filter(~_any(retail_event_rules())).select(
-        *[typed.get(c, stripped(c)).alias(c) for c in RETAIL_EVENTS_RAW.fieldNames()]
-    )
+    widths = {
+        "store_city": 100,
+        "province": 30,
+        "store_region": 30,
+        "product_name": 100,
+        "category": 30,
+        "payment_type": 20,
+    }
+    typed |= {c: F.substring(c, 1, w) for c, w in widths.items()}
+    lines = read_sale_lines(staged).filter(~_any(retail_event_rules()))
+    return lines.select(*[typed.get(c, F.col(c)).alias(c) for c in RETAIL_EVENTS_RAW.fieldNames()])
 
 
+# Staged table -> (reader of its rows, rules on what was read).
 STAGED_RULES = {
-    "Products": product_rules,
-    "Stores": store_rules,
-    "Promotions": promotion_rules,
-    "RetailEvents": retail_event_rules,
+    "Products": (lambda rows: rows, product_rules),
+    "Stores": (lambda rows: rows, store_rules),
+    "Promotions": (lambda rows: rows, promotion_rules),
+    "RetailEvents": (read_sale_lines, retail_event_rules),
 }
 
 
@@ -188,7 +207,8 @@ def fail_fast_gate(staged: DataFrame, table: str) -> DataFrame:
 
     The search ends at the first invalid row.
     """
-    if not staged.filter(_any(STAGED_RULES[table]())).isEmpty():
+    read, rules = STAGED_RULES[table]
+    if not read(staged).filter(_any(rules())).isEmpty():
         raise LoadRejected(LOAD_ERROR_CODES[table], f"{table} has rows with invalid required values")
     return staged
 
@@ -205,29 +225,28 @@ def quarantine_rules() -> list[tuple[Column, str]]:
     The quantity is read as INT here and as SMALLINT in the load, so 40000 is invalid there only.
     """
     return [
-        (~present("transaction_id"), "Missing transaction_id"),
-        (as_seconds("event_timestamp").isNull(), "Invalid event_timestamp"),
-        (_not_above(as_int("quantity"), 0), "Invalid quantity"),
-        (_not_above(as_decimal("unit_price"), 0), "Invalid unit_price"),
-        (_below(as_decimal("final_price"), 0), "Invalid final_price"),
+        (F.col("transaction_id").isNull(), "Missing transaction_id"),
+        (F.col("read_timestamp").isNull(), "Invalid event_timestamp"),
+        (_not_above(F.col("read_quantity"), 0), "Invalid quantity"),
+        (_not_above(F.col("read_unit_price"), 0), "Invalid unit_price"),
+        (_below(F.col("read_final_price"), 0), "Invalid final_price"),
     ]
 
 
 QUARANTINE_FALLBACK = "Failed source-data validation"
 
 
-def quarantine(rows: DataFrame) -> DataFrame:
-    """Cleaned raw rows with the reasons for which they stay out."""
+def quarantine(lines: DataFrame) -> DataFrame:
+    """Cleaned text of lines from ``read_sale_lines`` with the reasons for which they stay out."""
     reason = F.coalesce(
         F.nullif(join_reasons(quarantine_rules()), F.lit("")), F.lit(QUARANTINE_FALLBACK)
     )
-    names = [c for c in RETAIL_EVENTS_RAW.fieldNames() if c in rows.columns]
-    return rows.select(*[clean(c).alias(c) for c in names], reason.alias("rejection_reason"))
+    return lines.select(*RETAIL_EVENTS_RAW.fieldNames(), reason.alias("rejection_reason"))
 
 
 def quarantine_reasons(staged: DataFrame) -> DataFrame:
     """Quarantine rows of a staged table: the invalid ones, with reasons."""
-    return quarantine(staged.filter(_any(retail_event_rules())))
+    return quarantine(read_sale_lines(staged).filter(_any(retail_event_rules())))
 
 
 def check_constraint_rules() -> Rules:

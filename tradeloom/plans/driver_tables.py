@@ -25,6 +25,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Give the rows of a scan with few splits to all cores, ahead of costly work per row.
+
+    A scan that already has a split for every other core is left as it is, so tables of many files
+    are never shuffled for this.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() * 2 >= cores else rows.repartition(cores)
+
+
 def _padded(prefix: str, key: str, width: int) -> Column:
     """Prefix and zero-padded key; a key longer than the width keeps all its digits."""
     return F.expr(
@@ -248,9 +258,12 @@ def event_log(events: DataFrame) -> DataFrame:
 
 
 def retail_events(
-    spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    columns: Iterable[str] | None = None,
+    scan: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
-    """Retail sale lines with types, one per order line."""
+    """Retail sale lines with types, one per order line; ``scan`` prepares the fact rows."""
     gross = F.col("l_extendedprice").cast(MONEY)
     discount = (gross * F.col("l_discount").cast("decimal(6,2)")).cast(PRICE)
     promoted = F.col("l_discount") >= 0.05
@@ -306,7 +319,7 @@ def retail_events(
     }
     default = [c for c in specs if c != "part_key"]
     return _project(
-        table(spark, sf_dir, "lineitem"), specs, joins, default if columns is None else columns
+        scan(table(spark, sf_dir, "lineitem")), specs, joins, default if columns is None else columns
     )
 
 
@@ -315,7 +328,7 @@ def landed_retail_events(
 ) -> DataFrame:
     """``retail_events`` as landed text, with faults planted by part key."""
     names = _RETAIL_NAMES if columns is None else list(columns)
-    typed = retail_events(spark, sf_dir, [*names, "part_key"])
+    typed = retail_events(spark, sf_dir, [*names, "part_key"], scan=spread)
     k = F.col("part_key")
 
     def text(name: str) -> Column:

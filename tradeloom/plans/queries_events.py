@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tradeloom.operators import events as ev
 from tradeloom.operators import state
 from tradeloom.plans.catalog import query
-from tradeloom.plans.driver_tables import event_log, table
+from tradeloom.plans.driver_tables import event_log, spread, table
 from tradeloom.schemas import TOPIC_FAMILIES
 from tradeloom.session import scratch
 from tradeloom.streaming import jobs, projection, sinks
@@ -21,7 +21,7 @@ _STATE_COLUMNS = """product_type status issue_date expiry_date currency amount a
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_log(table(spark, sf_dir, "events"))
+    return event_log(spread(table(spark, sf_dir, "events")))
 
 
 def _log_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:

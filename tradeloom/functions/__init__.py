@@ -8,7 +8,14 @@ from tradeloom.functions.casting import (
     as_smallint,
     int_through_double,
 )
-from tradeloom.functions.numeric import computed_once, from_choices, join_reasons, ratio, round2
+from tradeloom.functions.numeric import (
+    broadcast_if_small,
+    computed_once,
+    from_choices,
+    join_reasons,
+    ratio,
+    round2,
+)
 from tradeloom.functions.text import clean, present, stripped
 
 __all__ = [
@@ -17,6 +24,7 @@ __all__ = [
     "as_int",
     "as_seconds",
     "as_smallint",
+    "broadcast_if_small",
     "clean",
     "computed_once",
     "from_choices",

@@ -17,6 +17,7 @@ from tradeloom.functions import (
     as_decimal,
     as_int,
     as_seconds,
+    broadcast_if_small,
     clean,
     computed_once,
     join_reasons,
@@ -280,8 +281,11 @@ def check_constraints(events: DataFrame) -> DataFrame:
 
 
 def orphans(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Fact rows whose non-null ``key`` is unknown to the dimension."""
-    known = dimension.select(F.col(key))
+    """Fact rows whose non-null ``key`` is unknown to the dimension.
+
+    Beside a dimension that is small enough the facts stay where they are.
+    """
+    known = broadcast_if_small(dimension.select(F.col(key)))
     return facts.filter(F.col(key).isNotNull()).join(known, key, "left_anti")
 
 

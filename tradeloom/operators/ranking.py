@@ -14,20 +14,32 @@ from pyspark.sql import functions as F
 BUCKETS = 256
 
 
-def sums_below(values: DataFrame, order: str, columns: list[str], buckets: int = BUCKETS) -> DataFrame:
-    """Add ``<column>_below``: the sum of the column over all rows with a smaller ``order``.
+def sums_below(
+    values: DataFrame,
+    order: str,
+    columns: list[str],
+    edges_from: DataFrame | None = None,
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """Add ``<column>_below``, the sum of the column over all rows with a smaller ``order``, and
+    ``<column>_all``, its sum over all rows.
 
-    ``values`` has one row per distinct non-null ``order``. The window over the bucket totals sees
-    at most ``buckets`` rows; the window inside a bucket sees that bucket's distinct values.
+    ``values`` has one row per distinct non-null ``order``. Bucket borders are quantiles of
+    ``edges_from`` (``values`` itself by default), which is only scanned. The window over the bucket
+    totals sees at most ``buckets`` rows; the window inside a bucket sees its distinct values.
     """
+    source = values if edges_from is None else edges_from
     edges = QuantileDiscretizer(
         numBuckets=buckets, inputCol="edge_value", outputCol="bucket", relativeError=0.5 / buckets
-    ).fit(values.select(F.col(order).cast("double").alias("edge_value")))
+    ).fit(source.select(F.col(order).cast("double").alias("edge_value")).filter("edge_value is not null"))
     cut = (
         edges.transform(values.withColumn("edge_value", F.col(order).cast("double")))
         .withColumn("bucket", F.col("bucket").cast("int"))
         .drop("edge_value")
     )
+    every = Window.orderBy("bucket").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
     earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = (
         cut.groupBy("bucket")
@@ -38,55 +50,62 @@ def sums_below(values: DataFrame, order: str, columns: list[str], buckets: int =
                 F.coalesce(F.sum(f"total_{i}").over(earlier), F.lit(0)).alias(f"base_{i}")
                 for i in range(len(columns))
             ],
+            *[F.sum(f"total_{i}").over(every).alias(f"all_{i}") for i in range(len(columns))],
         )
     )
     inside = (
         Window.partitionBy("bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
-    return cut.join(bases, "bucket").select(
+    # One row per bucket, so its size is bounded by the number of buckets.
+    return cut.join(F.broadcast(bases), "bucket").select(
         *values.columns,
         *[
             (F.col(f"base_{i}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(f"{c}_below")
             for i, c in enumerate(columns)
         ],
+        *[F.col(f"all_{i}").alias(f"{c}_all") for i, c in enumerate(columns)],
     )
 
 
+def _tie_counts(rows: DataFrame, score: str) -> DataFrame | None:
+    """Rows per distinct score with the rows below; None when there is no score at all."""
+    scored = rows.select(score).filter(F.col(score).isNotNull())
+    if scored.isEmpty():
+        return None
+    counts = scored.groupBy(score).agg(F.count(F.lit(1)).alias("ties"))
+    return sums_below(counts, score, ["ties"], edges_from=scored)
+
+
 def average_percentile_rank(rows: DataFrame, score: str, output: str = "percentile_rank") -> DataFrame:
     """Add the average rank of ``score`` among its ties, divided by the number of rows.
 
     A null score has a null rank and does not count.
     """
-    counts = (
-        rows.filter(F.col(score).isNotNull()).groupBy(score).agg(F.count(F.lit(1)).alias("ties"))
-    )
-    total = counts.agg(F.sum("ties")).first()[0]
-    if not total:
+    placed = _tie_counts(rows, score)
+    if placed is None:
         return rows.withColumn(output, F.lit(None).cast("double"))
-    ranked = sums_below(counts, score, ["ties"]).select(
-        score,
-        ((F.col("ties_below") + (F.col("ties") + 1) / F.lit(2.0)) / F.lit(float(total))).alias(output),
-    )
+    rank = F.col("ties_below") + (F.col("ties") + 1) / F.lit(2.0)
+    ranked = placed.select(score, (rank / F.col("ties_all").cast("double")).alias(output))
     return rows.join(ranked, score, "left").select(*rows.columns, output)
 
 
 def exact_quantile(rows: DataFrame, score: str, q: float) -> float | None:
     """Quantile with linear interpolation at position q * (n - 1)."""
-    counts = (
-        rows.filter(F.col(score).isNotNull()).groupBy(score).agg(F.count(F.lit(1)).alias("ties"))
-    )
-    total = counts.agg(F.sum("ties")).first()[0]
-    if not total:
+    placed = _tie_counts(rows, score)
+    if placed is None:
         return None
-    position = q * (total - 1)
-    low = int(position)
-    high = min(low + 1, total - 1)
-    placed = sums_below(counts, score, ["ties"])
-    hit = [
-        (F.col("ties_below") <= k) & (F.col("ties_below") + F.col("ties") > k) for k in (low, high)
-    ]
-    found = placed.agg(*[F.max(F.when(h, F.col(score))) for h in hit]).first()
-    return float(found[0]) + (float(found[1]) - float(found[0])) * (position - low)
+    position = F.lit(q) * (F.col("ties_all") - 1)
+    low = F.floor(position)
+    high = F.least(low + 1, F.col("ties_all") - 1)
+
+    def at(rank) -> F.Column:
+        inside = (F.col("ties_below") <= rank) & (F.col("ties_below") + F.col("ties") > rank)
+        return F.max(F.when(inside, F.col(score).cast("double")))
+
+    found = placed.agg(
+        at(low).alias("low"), at(high).alias("high"), F.max(position - low).alias("part")
+    ).first()
+    return found["low"] + (found["high"] - found["low"]) * found["part"]
 
 
 def anomaly_cutoff(rows: DataFrame, score: str, q: float = 0.95) -> DataFrame:

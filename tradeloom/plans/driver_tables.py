@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tradeloom.functions import from_choices
 from tradeloom.operators.events import route_topic
@@ -21,8 +22,15 @@ _CURRENCIES = ("CAD", "USD", "EUR", "GBP", "JPY", "CNY")
 _PRODUCTS = ("IMPORT_LC", "EXPORT_LC", "GUARANTEE", "COLLECTION")
 
 
+_LAYOUTS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its layout is taken from the files once and declared from then on."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _LAYOUTS:
+        _LAYOUTS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_LAYOUTS[path]).parquet(path)
 
 
 def spread(rows: DataFrame) -> DataFrame:
@@ -78,9 +86,12 @@ def first_line_facts(lineitem: DataFrame) -> DataFrame:
 
 
 def transactions(
-    spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    columns: Iterable[str] | None = None,
+    scan: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
-    """Trade transactions, one per order."""
+    """Trade transactions, one per order; ``scan`` prepares the order rows."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     day = F.col("o_orderdate").cast("date")
     days = (F.lit(1) + (key * 31 + cust) % 20).cast("int")
@@ -175,7 +186,7 @@ def transactions(
     }
     default = [c for c in specs if c not in ("order_key", "customer_key")]
     return _project(
-        table(spark, sf_dir, "orders"), specs, joins, default if columns is None else columns
+        scan(table(spark, sf_dir, "orders")), specs, joins, default if columns is None else columns
     )
 
 

@@ -9,7 +9,7 @@ from tradeloom.ml import features, forecast, forests, metrics, risk, sampling
 from tradeloom.ml.isolation_forest import fit_isolation_forest
 from tradeloom.operators import bi, export, ranking
 from tradeloom.plans.catalog import query
-from tradeloom.plans.driver_tables import model_scores, transactions
+from tradeloom.plans.driver_tables import model_scores, spread, transactions
 from tradeloom.session import scratch
 from tradeloom.streaming import rescore
 
@@ -17,7 +17,7 @@ _NUMERIC_TX = ["amount", "amendment_count", "document_count", "counterparty_rela
 
 
 def _feature_rows(spark, sf_dir, *more: str) -> DataFrame:
-    return transactions(spark, sf_dir, ["transaction_id", *_NUMERIC_TX, *more])
+    return transactions(spark, sf_dir, ["transaction_id", *_NUMERIC_TX, *more], scan=spread)
 
 
 def _outputs(spark, sf_dir) -> DataFrame:

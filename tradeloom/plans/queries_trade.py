@@ -9,7 +9,7 @@ from tradeloom.operators import export, portfolio, quality, state
 from tradeloom.operators.events import risk_level, risk_reason, risk_score
 from tradeloom.operators.valuation import fx_valuation
 from tradeloom.plans.catalog import query
-from tradeloom.plans.driver_tables import transactions
+from tradeloom.plans.driver_tables import spread, transactions
 from tradeloom.schemas import TRANSACTION
 from tradeloom.session import scratch
 from tradeloom.sources import files
@@ -206,7 +206,10 @@ def _(spark, sf_dir):
 def _volume_lines(spark, sf_dir) -> DataFrame:
     """Transaction JSON lines; some lack the product, some have it null, some amounts are no number."""
     rows = transactions(
-        spark, sf_dir, ["order_key", "product_type", "beneficiary_country", "currency", "amount"]
+        spark,
+        sf_dir,
+        ["order_key", "product_type", "beneficiary_country", "currency", "amount"],
+        scan=spread,
     )
     k = F.col("order_key")
     body = F.to_json(

@@ -14,6 +14,7 @@ from tradeloom.plans.driver_tables import (
     retail_products,
     retail_promotions,
     retail_stores,
+    spread,
     table,
 )
 from tradeloom.schemas import DATA_DICTIONARY_RAW, RETAIL_EVENTS_RAW
@@ -381,8 +382,9 @@ def _(spark, sf_dir):
         "province": (table(spark, sf_dir, "nation"), "n_name"),
         "store_region": (table(spark, sf_dir, "region"), "r_name"),
     }
+    facts = retail_events(spark, sf_dir, list(event_keys), scan=spread)
     audits = [
-        quality.foreign_key_audit(retail_events(spark, sf_dir, list(event_keys)), event_keys, "RetailEvents"),
+        quality.foreign_key_audit(facts, event_keys, "RetailEvents"),
         quality.foreign_key_audit(stores, store_keys, "Stores"),
         quality.foreign_key_audit(products, {"category": (categories, "category")}, "Products"),
         quality.foreign_key_audit(promotions, {"product_id": (products, "product_id")}, "Promotions"),

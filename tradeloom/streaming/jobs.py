@@ -31,20 +31,36 @@ def trade_events(log: DataFrame) -> DataFrame:
     return flatten_events(valid_events(parsed_log(log)))
 
 
-def stream_dedupe(rows: DataFrame, watermark: str | None = None) -> DataFrame:
+# Ways a transaction is split ahead of the final dedupe.
+DEDUPE_SALTS = 8
+
+
+def stream_dedupe(
+    rows: DataFrame, watermark: str | None = None, salts: int = DEDUPE_SALTS
+) -> DataFrame:
     """First event per transaction.
 
     Without a watermark the state keeps every transaction id ever seen. With one it keeps an id for
     the given time after its event, which bounds the state by the arrival rate.
+
+    A stream removes duplicates after its shuffle, so all events of a busy transaction would meet
+    in one task. They are first removed per transaction and salt, which spreads them, and of each
+    transaction at most ``salts`` events reach the second step. ``salts=1`` leaves that out.
     """
-    if watermark is None:
-        return rows.dropDuplicates(["transaction_id"])
-    timed = rows.withColumn("event_at", F.col("event_time").try_cast("timestamp"))
-    return (
-        timed.withWatermark("event_at", watermark)
-        .dropDuplicatesWithinWatermark(["transaction_id"])
-        .drop("event_at")
-    )
+
+    def once(stream: DataFrame, *keys: str) -> DataFrame:
+        if watermark is None:
+            return stream.dropDuplicates(list(keys))
+        return stream.dropDuplicatesWithinWatermark(list(keys))
+
+    if watermark is not None:
+        rows = rows.withColumn("event_at", F.col("event_time").try_cast("timestamp")).withWatermark(
+            "event_at", watermark
+        )
+    if salts > 1:
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("event_id"), F.lit(salts)))
+        rows = once(rows, "transaction_id", "salt")
+    return once(rows, "transaction_id").drop("event_at", "salt")
 
 
 def unique_transactions(

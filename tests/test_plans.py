@@ -70,9 +70,9 @@ def test_key_lookup_reaches_the_files(spark, sf_dir, tmp_path):
     key = store.agg(F.max(":key")).first()[0]
     found = state.point_lookup(store, key, ":key")
     assert found.count() == 1
-    assert f"EqualTo(:key,{key})" in details_of(found)
+    assert f"EqualTo(`:key`,{key})" in details_of(found)
     prefix = state.prefix_scan(store, "TF-1998", 5, ":key")
-    assert "StringStartsWith(:key,TF-1998)" in details_of(prefix) and prefix.count() == 5
+    assert "StringStartsWith(`:key`,TF-1998)" in details_of(prefix) and prefix.count() == 5
     assert {r["audit:load_source"] for r in store.limit(3).collect()} == {"test"}
 
 

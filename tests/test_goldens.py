@@ -216,3 +216,11 @@ def test_price_and_promotion_rules(spark):
     )
     got = {r[0]: r[1] for r in quality.rule_violations(promos, quality.promotion_table_rules()).collect()}
     assert got == {"date_range": 1, "discount_rate_range": 1}
+
+
+def test_event_order_is_total(spark):
+    rows = spark.range(500).selectExpr(
+        "CAST(id AS STRING) AS event_id", "lpad(CAST((id * 37) % 50 AS STRING), 3, '0') AS event_time"
+    )
+    got = [(r.event_time, r.event_id) for r in events.event_time_order(rows.repartition(5)).collect()]
+    assert got == sorted(got) and len(got) == 500

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.operators.portfolio import report
+from tradeloom.operators.state import to_string_store
 from tradeloom.schemas import RESULT_TOPICS
 
 ZONES = {
@@ -93,6 +94,11 @@ def result_messages(results: DataFrame, key: str, model: str) -> DataFrame:
     )
 
 
+def kafka_publish(records: DataFrame, servers: str) -> None:
+    """Send records (topic, key, value) to their topics. Needs the Spark Kafka package."""
+    records.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
+
+
 def bi_export(
     scored: DataFrame, forecast: DataFrame, metrics: DataFrame, path: str, summary: DataFrame | None = None
 ) -> None:
@@ -119,8 +125,6 @@ def summary_lines(metrics: DataFrame, title: str = "Model summary") -> DataFrame
 
 def bulk_load(transactions: DataFrame, path: str, load_source: str) -> DataFrame:
     """Store transactions as string cells under their key; a row without a key stops the load."""
-    from tradeloom.operators.state import to_string_store
-
     if not transactions.filter(F.col("transaction_id").isNull()).isEmpty():
         raise ValueError("a transaction is missing transaction_id")
     store = to_string_store(transactions, load_source)

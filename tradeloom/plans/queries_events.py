@@ -160,14 +160,12 @@ def _(spark, sf_dir):
 
 @query(
     "event_time_order",
-    """SELECT event_id, event_time, row_number() OVER (ORDER BY event_time, event_id) <= 100 AS among_first
-    FROM env WHERE readable AND transaction_id IS NOT NULL""",
+    """SELECT event_id, event_time, transaction_id FROM env WHERE readable AND transaction_id IS NOT NULL
+    ORDER BY event_time, event_id""",
     "env",
 )
 def _(spark, sf_dir):
-    flat = _flat(spark, sf_dir).select("event_id", "event_time")
-    border = ev.event_time_order(flat).limit(100).agg(F.max("event_time").alias("t")).first()["t"]
-    return ev.event_time_order(flat).withColumn("among_first", F.col("event_time") <= border)
+    return ev.event_time_order(_flat(spark, sf_dir).select("event_id", "event_time", "transaction_id"))
 
 
 @query(

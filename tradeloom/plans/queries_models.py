@@ -20,13 +20,20 @@ def _feature_rows(spark, sf_dir, *more: str) -> DataFrame:
     return transactions(spark, sf_dir, ["transaction_id", *_NUMERIC_TX, *more], scan=spread)
 
 
-def _outputs(spark, sf_dir) -> DataFrame:
-    """Transactions with stand-in model outputs, so that what is built on them can be checked."""
+_OUTPUT_NAMES = "transaction_id product_type beneficiary_country amount customer_risk_rating"
+
+
+def _outputs(spark, sf_dir, names: str = _OUTPUT_NAMES) -> DataFrame:
+    """Transactions with stand-in model outputs, so that what is built on them can be checked.
+
+    The scores are read several times for ranks, so only the named columns, and the joins that they
+    need, are part of it.
+    """
     k, c = F.col("order_key"), F.col("customer_key")
-    names = "transaction_id product_type beneficiary_country amount customer_risk_rating processing_days"
-    rows = transactions(spark, sf_dir, [*names.split(), "order_key", "customer_key"])
+    kept = names.split()
+    rows = transactions(spark, sf_dir, [*kept, "processing_days", "order_key", "customer_key"])
     return rows.select(
-        *names.split()[:-1],
+        *kept,
         (((k * 7919 + c * 104729) % 10007) / F.lit(10007.0)).alias("anomaly_score"),
         (((k * 31 + c * 17) % 1009) / F.lit(1009.0)).alias("discrepancy_probability"),
         (((k * 13 + c * 7) % 2003) / F.lit(2003.0)).alias("delay_probability"),
@@ -36,8 +43,9 @@ def _outputs(spark, sf_dir) -> DataFrame:
 
 def _scored(spark, sf_dir) -> DataFrame:
     """Stand-in outputs with anomaly class, risk score and risk level, written once."""
-    path = scratch(spark, "scored")
-    classed = ranking.anomaly_cutoff(_outputs(spark, sf_dir), "anomaly_score")
+    inputs, path = scratch(spark, "outputs"), scratch(spark, "scored")
+    _outputs(spark, sf_dir).write.parquet(inputs)
+    classed = ranking.anomaly_cutoff(spark.read.parquet(inputs), "anomaly_score")
     risk.overall_risk_level(risk.overall_risk_score(classed)).write.parquet(path)
     return spark.read.parquet(path)
 
@@ -61,7 +69,8 @@ def _(spark, sf_dir):
     "placed",
 )
 def _(spark, sf_dir):
-    classed = ranking.anomaly_cutoff(_outputs(spark, sf_dir).select("anomaly_score"), "anomaly_score")
+    scores = _outputs(spark, sf_dir, "transaction_id").select("anomaly_score")
+    classed = ranking.anomaly_cutoff(scores, "anomaly_score")
     return classed.groupBy("anomaly_class").agg(
         F.count(F.lit(1)).alias("transactions"), F.min("anomaly_score").alias("lowest_score")
     )
@@ -345,7 +354,8 @@ def _(spark, sf_dir):
     "placed",
 )
 def _(spark, sf_dir):
-    return risk.overall_risk_score(_outputs(spark, sf_dir)).select("transaction_id", "overall_risk_score")
+    rows = _outputs(spark, sf_dir, "transaction_id customer_risk_rating")
+    return risk.overall_risk_score(rows).select("transaction_id", "overall_risk_score")
 
 
 @query(
@@ -354,7 +364,8 @@ def _(spark, sf_dir):
     "levelled",
 )
 def _(spark, sf_dir):
-    rows = risk.overall_risk_level(risk.overall_risk_score(_outputs(spark, sf_dir)))
+    rows = _outputs(spark, sf_dir, "transaction_id customer_risk_rating")
+    rows = risk.overall_risk_level(risk.overall_risk_score(rows))
     return rows.groupBy("overall_risk_level").agg(F.count(F.lit(1)).alias("transactions"))
 
 
@@ -369,7 +380,8 @@ _EXPORT_COLUMNS = """transaction_id amount anomaly_score discrepancy_probability
 
 @query("scored_export", _EXPORT_SQL, "levelled")
 def _(spark, sf_dir):
-    return risk.scored_export(_outputs(spark, sf_dir)).select(*_EXPORT_COLUMNS)
+    rows = _outputs(spark, sf_dir, "transaction_id amount customer_risk_rating")
+    return risk.scored_export(rows).select(*_EXPORT_COLUMNS)
 
 
 @query(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tradeloom.llm import exact_dedup, mixing, near_dedup, packing, toxicity
+from tradeloom.llm import exact_dedup, mixing, near_dedup, packing, quality, secrets, toxicity, url_filter
 from tradeloom.llm.common import table
 from tradeloom.llm.sql import SQL as _SQL
 
@@ -37,6 +37,40 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document, and the verdict of rules certified on the labels per language."""
+    judged = quality.decide(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.withColumnRenamed("id", "doc_id").withColumn("failed", F.array_join("failed", ","))
+
+
+def op5_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document; the character models learn from what the patterns find."""
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.find(docs, secrets.fit(secrets.labelled_samples(docs)))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[secrets.count_kind("base", kind).alias(f"n_{kind}") for kind in secrets.KINDS[:3]],
+        F.sha2(secrets.written("base"), 256).alias("base_sha256"),
+        secrets.written("spans").alias("spans"),
+    )
+
+
+# The rules of the contract.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op6_url_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict for every page's url."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Severity of every document, learnt from the labels."""
     docs = table(spark, sf_dir, "documents")
@@ -74,6 +108,9 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_poisson_mixing,
         op3_exact_dedup,
+        op4_risk_controlled_quality,
+        op5_markov_secrets,
+        op6_url_range_join,
         op7_toxicity,
         op8_minmax_near_dedup,
         op10_sum_of_squares_packing,

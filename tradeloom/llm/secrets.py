@@ -1,0 +1,177 @@
+"""Secret scan (DataFrame and SQL functions only): pattern rules, and character Markov models that tell
+random strings from ordinary identifiers.
+
+Both models are first-order: the probability of a character given the one before it, with one added to
+each count. A candidate is a run of 16 or more key characters outside the pattern spans; it is a secret
+if the log-likelihood ratio of random to ordinary, summed over its transitions, is above the threshold
+(ln 1000: one random string to a thousand identifiers). The models come from labelled samples; only
+their counts, at most 2 x 65 x 65, reach the driver.
+
+All spans are found row by row, without a shuffle. A match's place is the sum of the lengths of the
+pieces and matches before it, taken for matches that count only.
+
+Defined results
+    null or empty text  no spans
+    null id             kept as null
+    very long text      whole; candidates are split into characters once
+    repeated rows       each has its own result
+    ties                spans with one start stand in the order of the kinds
+    empty table         no rows
+    extra columns       are never read; clashing names are not a problem
+    no samples          all transitions are equally likely, so the models add no span
+"""
+
+from __future__ import annotations
+
+import json
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# The kinds, their patterns, and what a match must have.
+ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ACCESS = r"AKIA[A-Z0-9]{16,}"
+HEX = r"[0-9a-f]{24,}"
+VALUE_LENGTH = 6
+KINDS = ["assign", "access", "hex", "random"]
+
+CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
+IDENTIFIER = r"[A-Za-z0-9+/_=-]{4,}"
+SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+FIRST, SPAN = ord("+"), ord("z") - ord("+") + 1
+
+THRESHOLD = math.log(1000)
+SAMPLE_ROWS = 4_000
+
+
+def _matches(text: str, pattern: str, group: int = 0) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+
+
+def labelled_samples(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(``label``, ``sample``) from about ``sample_rows`` documents chosen by a hash of the id: what the
+    patterns find is random (1), the identifiers beside it are ordinary (0)."""
+    share = min(1.0, sample_rows / max(1, docs.count()))
+    chosen = docs.where((F.xxhash64(id_col) / F.lit(2.0**64) + 0.5) < share).select(
+        F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    )
+    rest = F.col("text")
+    for pattern in (ASSIGN, ACCESS, HEX):
+        rest = F.regexp_replace(rest, pattern, " ")
+    values = F.filter(_matches("text", ASSIGN, 2), lambda v: F.length(v) >= VALUE_LENGTH)
+    random = F.concat(values, _matches("text", ACCESS), _matches("text", HEX))
+    ordinary = F.regexp_extract_all(rest, F.lit(IDENTIFIER), F.lit(0))
+    pairs = chosen.select(
+        F.explode(
+            F.concat(
+                F.transform(random, lambda s: F.struct(F.lit(1).alias("label"), s.alias("sample"))),
+                F.transform(ordinary, lambda s: F.struct(F.lit(0).alias("label"), s.alias("sample"))),
+            )
+        ).alias("pair")
+    )
+    return pairs.select("pair.*")
+
+
+def fit(samples: DataFrame) -> list[float]:
+    """Log-likelihood ratio, random over ordinary, of each transition, as a table of SPAN x SPAN."""
+    folded = samples.groupBy("label", "sample").agg(F.count("*").alias("n"))
+    chars = folded.select("label", "n", F.split("sample", "").alias("c"))
+    steps = chars.select(
+        "label", "n", F.explode(F.arrays_zip(F.slice("c", 1, F.greatest(F.size("c") - 1, F.lit(0))).alias("x"), F.expr("slice(c, 2, greatest(size(c) - 1, 0))").alias("y"))).alias("s")
+    )
+    counted = steps.groupBy("label", "s.x", "s.y").agg(F.sum("n").alias("n")).collect()
+    seen = {(r["label"], r["x"], r["y"]): r["n"] for r in counted}
+    table = [0.0] * (SPAN * SPAN)
+    for x in SYMBOLS:
+        of = [sum(seen.get((label, x, y), 0) for y in SYMBOLS) + len(SYMBOLS) for label in (0, 1)]
+        for y in SYMBOLS:
+            ordinary, random = ((seen.get((label, x, y), 0) + 1) / of[label] for label in (0, 1))
+            table[(ord(x) - FIRST) * SPAN + ord(y) - FIRST] = round(math.log(random / ordinary), 6)
+    return table
+
+
+def _total(lengths: Column, count: Column) -> Column:
+    return F.aggregate(F.slice(lengths, F.lit(1), count), F.lit(0), lambda total, n: total + n)
+
+
+def _spans(rank: int, matches: str, pieces: str, keep) -> Column:
+    """Structs (start, rank, end) of the matches for which ``keep(i)`` holds."""
+    numbers = F.when(F.size(matches) > 0, F.sequence(F.lit(0), F.size(matches) - 1)).otherwise(
+        F.array().cast("array<int>")
+    )
+    lengths = F.transform(matches, F.length)
+
+    def span(i: Column) -> Column:
+        start = _total(F.col(pieces), i + 1) + _total(lengths, i)
+        return F.struct(
+            start.alias("start"), F.lit(rank).alias("rank"), (start + F.length(F.get(matches, i))).alias("end")
+        )
+
+    return F.transform(F.filter(numbers, keep), span)
+
+
+def _ratio(table: list[float], candidate: Column) -> Column:
+    ratios = F.from_json(F.lit(json.dumps(table)), "array<double>")
+    codes = F.transform(F.split(candidate, ""), lambda c: F.ascii(c) - FIRST)
+
+    def add(acc: Column, code: Column) -> Column:
+        step = F.when(acc["last"] < 0, F.lit(0.0)).otherwise(F.get(ratios, acc["last"] * SPAN + code))
+        return F.struct(code.alias("last"), (acc["sum"] + step).alias("sum"))
+
+    return F.aggregate(codes, F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("sum")), add)["sum"]
+
+
+def find(
+    docs: DataFrame,
+    table: list[float],
+    threshold: float = THRESHOLD,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """Per document ``id``, ``base`` (spans of the patterns) and ``spans`` (these and the models'):
+    structs of start, rank in KINDS, end, in code points, ordered."""
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "random": CANDIDATE}
+    found = rows.select(
+        "id",
+        _matches("text", ASSIGN, 2).alias("values"),
+        *[_matches("text", p).alias(f"{k}_matches") for k, p in patterns.items()],
+        *[F.transform(F.split("text", p), F.length).alias(f"{k}_pieces") for k, p in patterns.items()],
+    )
+    every = lambda i: F.lit(True)
+    base = found.select(
+        "id",
+        "random_matches",
+        "random_pieces",
+        F.sort_array(
+            F.concat(
+                _spans(0, "assign_matches", "assign_pieces", lambda i: F.length(F.get("values", i)) >= VALUE_LENGTH),
+                _spans(1, "access_matches", "access_pieces", every),
+                _spans(2, "hex_matches", "hex_pieces", every),
+            )
+        ).alias("base"),
+    )
+    likely = lambda i: _ratio(table, F.get("random_matches", i)) > threshold
+    more = base.select("id", "base", _spans(3, "random_matches", "random_pieces", likely).alias("more"))
+    apart = F.filter(
+        "more",
+        lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])),
+    )
+    return more.select("id", "base", F.sort_array(F.concat("base", apart)).alias("spans"))
+
+
+def written(spans: str) -> Column:
+    """Spans as ``kind:start:end`` joined by commas."""
+    kinds = F.array(*[F.lit(k) for k in KINDS])
+    return F.array_join(
+        F.transform(
+            spans, lambda s: F.concat_ws(":", F.get(kinds, s["rank"]), s["start"].cast("string"), s["end"].cast("string"))
+        ),
+        ",",
+    )
+
+
+def count_kind(spans: str, kind: str) -> Column:
+    rank = KINDS.index(kind)
+    return F.size(F.filter(spans, lambda s: s["rank"] == rank)).cast("long")

@@ -41,6 +41,26 @@ FROM copies
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+    "op6_url_range_join": """
+WITH parsed AS (
+    SELECT page_id,
+           translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages
+), rules(rule_host, rule_path, verdict) AS (
+    VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+           ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), best AS (
+    SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+           arg_max(verdict, length(rule_host || rule_path)) AS verdict
+    FROM parsed JOIN rules
+      ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    GROUP BY page_id
+)
+SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parsed p LEFT JOIN best ON best.page_id = p.page_id
 """,
     "op8_minmax_near_dedup": """
 WITH RECURSIVE words AS (

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tradeloom.llm import exact_dedup, mixing, near_dedup, packing, quality, secrets, toxicity, url_filter
+from tradeloom.llm import exact_dedup, lm, mixing, near_dedup, packing, quality, secret_scan, toxicity, url_filter
 from tradeloom.llm.common import table
 from tradeloom.llm.sql import SQL as _SQL
 
@@ -25,6 +25,15 @@ def op1_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "text", "lang", "n_chars", "n_copies", "copy", "shuffle_key")
 
 
+def op2_pitman_yor_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probabilities of every document; six sevenths of them are learnt from."""
+    docs = table(spark, sf_dir, "documents")
+    counted = lm.blocks(docs, "doc_id", "text")
+    scores = lm.score(lm.fit(docs, counted), counted)
+    perplexity = F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))
+    return scores.withColumnRenamed("id", "doc_id").withColumn("perplexity", perplexity)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole table as one batch for a fresh digest index."""
     decided = exact_dedup.decide(table(spark, sf_dir, "documents"))
@@ -46,12 +55,12 @@ def op4_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document; the character models learn from what the patterns find."""
     docs = table(spark, sf_dir, "documents")
-    found = secrets.find(docs, secrets.fit(secrets.labelled_samples(docs)))
+    found = secret_scan.find(docs, secret_scan.fit(secret_scan.labelled_samples(docs)))
     return found.select(
         F.col("id").alias("doc_id"),
-        *[secrets.count_kind("base", kind).alias(f"n_{kind}") for kind in secrets.KINDS[:3]],
-        F.sha2(secrets.written("base"), 256).alias("base_sha256"),
-        secrets.written("spans").alias("spans"),
+        *[secret_scan.count_kind("base", kind).alias(f"n_{kind}") for kind in secret_scan.KINDS[:3]],
+        F.sha2(secret_scan.written("base"), 256).alias("base_sha256"),
+        secret_scan.written("spans").alias("spans"),
     )
 
 
@@ -107,6 +116,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_poisson_mixing,
+        op2_pitman_yor_scoring,
         op3_exact_dedup,
         op4_risk_controlled_quality,
         op5_markov_secrets,

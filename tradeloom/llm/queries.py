@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tradeloom.llm import exact_dedup, lm, mixing, near_dedup, packing, quality, secret_scan, toxicity, url_filter
+from tradeloom.llm import exact_dedup, line_dedup, lm, mixing, near_dedup, packing, quality, secret_scan, toxicity, url_filter
 from tradeloom.llm.common import table
 from tradeloom.llm.sql import SQL as _SQL
 
@@ -95,6 +95,11 @@ def op8_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_template_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of templates that recur in at least five texts."""
+    return line_dedup.dedup(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op10_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens."""
     pieces = packing.pack(
@@ -123,6 +128,7 @@ QUERIES: dict[str, Query] = {
         op6_url_range_join,
         op7_toxicity,
         op8_minmax_near_dedup,
+        op9_template_line_dedup,
         op10_sum_of_squares_packing,
     )
 } | {"pipeline": corpus_pipeline.run}

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.rows import frame_rows
-from tradeloom.functions import broadcast_if_small
 from tradeloom.operators import export, state
 from tradeloom.plans.driver_tables import transactions
 
@@ -80,9 +79,3 @@ def test_bulk_load_needs_keys(spark, sf_dir, tmp_path):
     rows = transactions(spark, sf_dir).limit(5).withColumn("transaction_id", F.lit(None).cast("string"))
     with pytest.raises(ValueError, match="missing transaction_id"):
         export.bulk_load(rows, str(tmp_path / "store"), "test")
-
-
-def test_broadcast_only_below_the_limit(spark):
-    rows = spark.range(100)
-    assert "hint" in broadcast_if_small(rows, 100)._jdf.queryExecution().analyzed().toString().lower()
-    assert "hint" not in broadcast_if_small(rows, 99)._jdf.queryExecution().analyzed().toString().lower()

@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradeloom.operators import quality, retail, state
-from tradeloom.operators.events import first_arrivals
+from tradeloom.operators.events import ARRIVAL, first_arrivals
+from tradeloom.plans.driver_tables import event_log
+from tradeloom.sources.files import file_event_source
 from tradeloom.streaming import jobs, sinks
 
 N = 30_000
@@ -19,13 +21,17 @@ def flat(spark):
         "lpad(CAST((id * 7919) % 30011 AS STRING), 6, '0') AS event_time",
         "CAST(id AS STRING) AS event_id",
         "CAST(id % 50 AS DECIMAL(18,2)) AS amount",
+        "timestamp_seconds((id * 7919) % 30011) AS kafka_timestamp",
+        "concat('t', id % 3) AS topic",
+        "CAST(id % 5 AS INT) AS partition",
+        "id AS offset",
     ).repartition(6)
 
 
 def test_first_arrival_of_a_hot_key(flat):
     got = first_arrivals(flat)
     assert got.count() == flat.select("transaction_id").distinct().count()
-    want = flat.filter("transaction_id = 'TF-HOT'").orderBy("event_time", "event_id").first()
+    want = flat.filter("transaction_id = 'TF-HOT'").orderBy(*ARRIVAL).first()
     assert got.filter("transaction_id = 'TF-HOT'").first()["event_id"] == want["event_id"]
 
 
@@ -53,14 +59,21 @@ def test_hot_orphan_keeps_every_row(spark):
     assert quality.orphans(facts, known, "product_id").count() == HOT
 
 
-@pytest.mark.parametrize("salts", [1, 8])
-def test_stream_dedupe_of_a_hot_key(spark, flat, tmp_path, salts):
-    source = str(tmp_path / "in")
-    flat.repartition(3).write.parquet(source)
-    stream = spark.readStream.schema(flat.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    rows = jobs.stream_dedupe(stream, salts=salts)
-    sinks.append_stream_sink(rows, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "out"))
-    assert got.columns == flat.columns
-    ids = [r[0] for r in got.select("transaction_id").collect()]
-    assert len(ids) == len(set(ids)) == flat.select("transaction_id").distinct().count()
+def test_stream_dedupe_of_a_hot_key_keeps_the_first_arrival(spark, tmp_path):
+    """Four files, one per micro-batch; every event of a transaction differs, and which one wins counts."""
+    events = spark.range(4_000).selectExpr(
+        "id AS event_id", "CAST(timestamp_seconds(id DIV 2) AS TIMESTAMP) AS ts",
+        "IF(id % 3 = 0, 7, id % 200) AS user_id", "'click' AS event_type",
+    )
+    log = event_log(events)
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    log.repartitionByRange(4, F.desc("timestamp")).write.parquet(source)
+    stream = file_event_source(spark, source, max_files=1)
+    jobs.stream_dedupe(stream, out, str(tmp_path / "cp")).awaitTermination()
+    rows = jobs.arriving_transactions(log)
+    assert sinks.read_batches(spark, out, rows.schema).select("batch_id").distinct().count() == 4
+    got = {r.transaction_id: r.event_id for r in jobs.read_first_arrivals(spark, out, rows.schema).collect()}
+    want = {}
+    for r in rows.orderBy(*ARRIVAL).collect():
+        want.setdefault(r.transaction_id, r.event_id)
+    assert got == want and len(got) > 100

@@ -7,7 +7,7 @@ from tests.rows import frame_rows
 from tradeloom.operators import events as ev
 from tradeloom.operators import state
 from tradeloom.plans.driver_tables import event_log, table
-from tradeloom.schemas import topic_pattern
+from tradeloom.schemas import TOPIC_FAMILIES, topic_pattern
 from tradeloom.sources.external import RATE_LIMITS, kafka_options
 from tradeloom.sources.files import file_event_source
 from tradeloom.streaming import jobs, projection, sinks
@@ -29,9 +29,7 @@ def log(spark, log_path):
 
 
 def unique(log, families=None, currency=True):
-    parsed = jobs.parsed_log(log) if families is None else jobs.parsed_log(log, families)
-    flat = ev.flatten_events(ev.valid_events(parsed, require_event_id=False))
-    return ev.first_arrivals(ev.business_transactions(flat, currency))
+    return ev.first_arrivals(jobs.arriving_transactions(log, families or TOPIC_FAMILIES, currency))
 
 
 def test_append_sink_and_replay(spark, log, log_path, tmp_path):
@@ -52,22 +50,33 @@ def test_append_sink_and_replay(spark, log, log_path, tmp_path):
 
 
 def test_kpis_equal_batch(spark, log, log_path, tmp_path):
-    rows = jobs.stream_currency_kpis(file_event_source(spark, log_path, max_files=1))
-    path = str(tmp_path / "kpis")
+    root = str(tmp_path / "kpis")
+    stream = file_event_source(spark, log_path, max_files=1)
+    query = jobs.stream_currency_kpis(stream, root, str(tmp_path / "cp"))
+    query.awaitTermination()
+    want = ev.currency_kpis(unique(log))
+    got = sinks.read_latest(spark, f"{root}/kpis", want.schema)
+    assert frame_rows(got) == frame_rows(want)
+    assert len([p for p in query.recentProgress if p["numInputRows"] > 0]) == 4
+    assert len(list((tmp_path / "kpis" / "kpis").glob("slot=*"))) == 2
+
+
+def test_complete_sink_keeps_two_versions(spark, log_path, tmp_path):
+    rows = file_event_source(spark, log_path, max_files=1).groupBy("topic").count()
+    path = str(tmp_path / "counts")
     sinks.complete_stream_sink(rows, path, str(tmp_path / "cp")).awaitTermination()
-    got = sinks.read_latest(spark, path, rows.schema)
-    assert frame_rows(got) == frame_rows(ev.currency_kpis(unique(log)))
-    versions = sinks.read_batches(spark, path, rows.schema).select("batch_id").distinct().count()
-    assert versions >= 4
+    want = spark.read.parquet(log_path).groupBy("topic").count()
+    assert frame_rows(sinks.read_latest(spark, path, rows.schema)) == frame_rows(want)
+    assert len(list((tmp_path / "counts").glob("slot=*"))) == 2
 
 
-@pytest.mark.parametrize("watermark", [None, "60 days"])
-def test_alerts_equal_batch(spark, log, log_path, tmp_path, watermark):
-    rows = jobs.stream_risk_alerts(file_event_source(spark, log_path, max_files=1), watermark)
+def test_alerts_equal_batch(spark, log, log_path, tmp_path):
     path = str(tmp_path / "alerts")
-    sinks.append_stream_sink(rows, path, str(tmp_path / "cp")).awaitTermination()
-    want = ev.high_risk_alerts(unique(log, jobs.ALERT_FAMILIES, currency=False))
-    assert frame_rows(spark.read.parquet(path)) == frame_rows(want)
+    stream = file_event_source(spark, log_path, max_files=1)
+    jobs.stream_risk_alerts(stream, path, str(tmp_path / "cp")).awaitTermination()
+    first = unique(log, jobs.ALERT_FAMILIES, currency=False)
+    got = jobs.read_alerts(spark, path, first.schema)
+    assert frame_rows(got) == frame_rows(ev.high_risk_alerts(first))
 
 
 @pytest.fixture(scope="module")

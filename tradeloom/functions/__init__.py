@@ -9,7 +9,6 @@ from tradeloom.functions.casting import (
     int_through_double,
 )
 from tradeloom.functions.numeric import (
-    broadcast_if_small,
     computed_once,
     from_choices,
     join_reasons,
@@ -24,7 +23,6 @@ __all__ = [
     "as_int",
     "as_seconds",
     "as_smallint",
-    "broadcast_if_small",
     "clean",
     "computed_once",
     "from_choices",

@@ -39,12 +39,3 @@ def computed_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
     expression for every reference. A generator of one row is a step that filters stay above.
     """
     return rows.select("*", F.explode(F.array(value)).alias(name))
-
-
-BROADCAST_ROWS = 500_000
-
-
-def broadcast_if_small(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a narrow relation for broadcast when it has at most ``limit`` rows; else leave the join
-    to shuffle. Counting stops just past the limit."""
-    return F.broadcast(rows) if rows.limit(limit + 1).count() <= limit else rows

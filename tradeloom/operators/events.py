@@ -76,10 +76,14 @@ _FLAT_PAYLOAD = (
 ).split()
 
 
-def flatten_events(parsed: DataFrame) -> DataFrame:
-    """Flat business columns of parsed envelopes."""
+# Order of arrival: the time a record entered the log, then its place there.
+ARRIVAL = ["kafka_timestamp", "topic", "partition", "offset"]
+
+
+def flatten_events(parsed: DataFrame, with_arrival: bool = False) -> DataFrame:
+    """Flat business columns of parsed envelopes; on demand with the columns of ``ARRIVAL``."""
     return parsed.select(
-        "topic",
+        *(ARRIVAL if with_arrival else ["topic"]),
         *[
             F.col(f"event.{name}").alias(name)
             for name in ("event_id", "event_type", "event_time", "transaction_id")
@@ -97,13 +101,13 @@ def business_transactions(flat: DataFrame, require_currency: bool = True) -> Dat
 
 
 def first_arrivals(flat: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """Earliest event per key by (event_time, event_id): the batch form of stream dedupe.
+    """The event per key that arrived first, by ``ARRIVAL``: stream dedupe of a batch.
 
-    An aggregate, not a window: each task passes on one row per key, however hot the key is.
+    An aggregate, not a window: each task passes on one row per key, however hot the key is. Folding
+    folded parts gives the same rows, so a stream can fold its micro-batches one by one.
     """
     rest = [c for c in flat.columns if c != key]
-    order = ["event_time", "event_id"]
-    packed = F.struct(*order, *[c for c in rest if c not in order])
+    packed = F.struct(*ARRIVAL, *[c for c in rest if c not in ARRIVAL])
     return (
         flat.groupBy(key).agg(F.min(packed).alias("first")).select(key, *[F.col(f"first.{c}") for c in rest])
     )

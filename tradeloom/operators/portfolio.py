@@ -238,12 +238,13 @@ def readable_amounts(lines: DataFrame, value: str = "value") -> DataFrame:
             F.json_object_keys(value).alias("found"),
         ),
     ).select("line.t", "line.found")
-    amount = F.col("t.amount").try_cast("double").try_cast("decimal(28,8)")
+    number = F.col("t.amount").try_cast("double")
+    amount = number.try_cast("decimal(38,8)")
     has_keys = F.size(F.array_intersect("found", F.array(*[F.lit(f) for f in fields]))) == len(fields)
     return parsed.select(
         *[F.coalesce(F.col(f"t.{f}"), F.lit("None")).alias(f) for f in fields[:3]],
         F.round(amount, 2).alias("amount"),
-        F.coalesce(has_keys & amount.isNotNull(), F.lit(False)).alias("usable"),
+        F.coalesce(has_keys & number.isNotNull(), F.lit(False)).alias("usable"),
     )
 
 

@@ -17,7 +17,6 @@ from tradeloom.functions import (
     as_decimal,
     as_int,
     as_seconds,
-    broadcast_if_small,
     clean,
     computed_once,
     join_reasons,
@@ -127,44 +126,57 @@ def retail_event_rules() -> Rules:
     }
 
 
-# Typed columns of each staged table; fixed widths of the target columns cut longer text.
-def _cut(name: str, width: int) -> Column:
-    return F.substring(stripped(name), 1, width)
+# Text widths of the fixed-width target tables (fixed values), for the ``widths`` of a typed load.
+TARGET_WIDTHS = {
+    "product_name": 100,
+    "category": 30,
+    "store_city": 100,
+    "province": 30,
+    "store_region": 30,
+    "promotion_name": 100,
+    "payment_type": 20,
+}
+
+
+def _text(name: str, widths: Mapping[str, int] | None) -> Column:
+    """Cleaned text, cut to the column's width when the load has widths; whole by default."""
+    text = stripped(name)
+    return F.substring(text, 1, widths[name]) if widths and name in widths else text
 
 
-def typed_products(staged: DataFrame) -> DataFrame:
+def typed_products(staged: DataFrame, widths: Mapping[str, int] | None = None) -> DataFrame:
     """Valid products with types."""
     return staged.filter(~_any(product_rules())).select(
         stripped("product_id").alias("product_id"),
-        _cut("product_name", 100).alias("product_name"),
-        _cut("category", 30).alias("category"),
+        _text("product_name", widths).alias("product_name"),
+        _text("category", widths).alias("category"),
         as_decimal("base_unit_price").alias("base_unit_price"),
     )
 
 
-def typed_stores(staged: DataFrame) -> DataFrame:
+def typed_stores(staged: DataFrame, widths: Mapping[str, int] | None = None) -> DataFrame:
     """Valid stores."""
     return staged.filter(~_any(store_rules())).select(
         stripped("store_id").alias("store_id"),
-        _cut("store_city", 100).alias("store_city"),
-        _cut("province", 30).alias("province"),
-        _cut("store_region", 30).alias("store_region"),
+        _text("store_city", widths).alias("store_city"),
+        _text("province", widths).alias("province"),
+        _text("store_region", widths).alias("store_region"),
     )
 
 
-def typed_promotions(staged: DataFrame) -> DataFrame:
+def typed_promotions(staged: DataFrame, widths: Mapping[str, int] | None = None) -> DataFrame:
     """Valid promotions with types."""
     return staged.filter(~_any(promotion_rules())).select(
         stripped("promotion_id").alias("promotion_id"),
         stripped("product_id").alias("product_id"),
-        _cut("promotion_name", 100).alias("promotion_name"),
+        _text("promotion_name", widths).alias("promotion_name"),
         as_date("start_date").alias("start_date"),
         as_date("end_date").alias("end_date"),
         as_decimal("discount_rate", 6, 4).alias("discount_rate"),
     )
 
 
-def typed_retail_events(staged: DataFrame) -> DataFrame:
+def typed_retail_events(staged: DataFrame, widths: Mapping[str, int] | None = None) -> DataFrame:
     """Valid sale lines with types."""
     typed = {
         "event_timestamp": F.col("read_timestamp"),
@@ -173,15 +185,7 @@ def typed_retail_events(staged: DataFrame) -> DataFrame:
         "discount_amount": F.col("read_discount_amount"),
         "final_price": F.col("read_final_price"),
     }
-    widths = {
-        "store_city": 100,
-        "province": 30,
-        "store_region": 30,
-        "product_name": 100,
-        "category": 30,
-        "payment_type": 20,
-    }
-    typed |= {c: F.substring(c, 1, w) for c, w in widths.items()}
+    typed |= {c: F.substring(c, 1, w) for c, w in (widths or {}).items()}
     lines = read_sale_lines(staged).filter(~_any(retail_event_rules()))
     return lines.select(*[typed.get(c, F.col(c)).alias(c) for c in RETAIL_EVENTS_RAW.fieldNames()])
 
@@ -283,10 +287,9 @@ def check_constraints(events: DataFrame) -> DataFrame:
 def orphans(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Fact rows whose non-null ``key`` is unknown to the dimension.
 
-    Beside a dimension that is small enough the facts stay where they are.
+    Spark broadcasts the dimension's keys by their measured size, and splits a hot key otherwise.
     """
-    known = broadcast_if_small(dimension.select(F.col(key)))
-    return facts.filter(F.col(key).isNotNull()).join(known, key, "left_anti")
+    return facts.filter(F.col(key).isNotNull()).join(dimension.select(key), key, "left_anti")
 
 
 def foreign_key_audit(
@@ -329,7 +332,13 @@ def foreign_key_audit(
         .groupBy("column_name")
         .agg(F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).alias("violations"))
     )
-    return broken.select(F.lit(table).alias("table_name"), "column_name", "violations")
+    # A key column without any value has no counted row, and an empty table has none at all.
+    every = facts.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return every.join(broken, "column_name", "left").select(
+        F.lit(table).alias("table_name"),
+        "column_name",
+        F.coalesce("violations", F.lit(0)).cast("long").alias("violations"),
+    )
 
 
 def insert_missing_lookup(target: DataFrame, incoming: DataFrame, column: str) -> DataFrame:

@@ -11,23 +11,23 @@ from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
-
 
 def sums_below(
     values: DataFrame,
     order: str,
     columns: list[str],
     edges_from: DataFrame | None = None,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add ``<column>_below``, the sum of the column over all rows with a smaller ``order``, and
     ``<column>_all``, its sum over all rows.
 
     ``values`` has one row per distinct non-null ``order``. Bucket borders are quantiles of
-    ``edges_from`` (``values`` itself by default), which is only scanned. The window over the bucket
-    totals sees at most ``buckets`` rows; the window inside a bucket sees its distinct values.
+    ``edges_from`` (``values`` itself by default), which is only scanned. There are as many buckets as
+    the session has shuffle partitions, unless told otherwise. The window over the bucket totals sees
+    one row per bucket; the window inside a bucket sees its distinct values.
     """
+    buckets = buckets or max(2, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     source = values if edges_from is None else edges_from
     edges = QuantileDiscretizer(
         numBuckets=buckets, inputCol="edge_value", outputCol="bucket", relativeError=0.5 / buckets
@@ -86,7 +86,11 @@ def average_percentile_rank(rows: DataFrame, score: str, output: str = "percenti
         return rows.withColumn(output, F.lit(None).cast("double"))
     rank = F.col("ties_below") + (F.col("ties") + 1) / F.lit(2.0)
     ranked = placed.select(score, (rank / F.col("ties_all").cast("double")).alias(output))
-    return rows.join(ranked, score, "left").select(*rows.columns, output)
+    # Rows without a score have nothing to join and would all meet under one key.
+    scored = rows.filter(F.col(score).isNotNull()).join(ranked, score).select(*rows.columns, output)
+    return scored.unionByName(
+        rows.filter(F.col(score).isNull()).withColumn(output, F.lit(None).cast("double"))
+    )
 
 
 def exact_quantile(rows: DataFrame, score: str, q: float) -> float | None:

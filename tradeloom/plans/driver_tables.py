@@ -33,16 +33,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_LAYOUTS[path]).parquet(path)
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Give the rows of a scan with few splits to all cores, ahead of costly work per row.
-
-    A scan that already has a split for every other core is left as it is, so tables of many files
-    are never shuffled for this.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() * 2 >= cores else rows.repartition(cores)
-
-
 def _padded(prefix: str, key: str, width: int) -> Column:
     """Prefix and zero-padded key; a key longer than the width keeps all its digits."""
     return F.expr(
@@ -89,9 +79,8 @@ def transactions(
     spark: SparkSession,
     sf_dir: str,
     columns: Iterable[str] | None = None,
-    scan: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
-    """Trade transactions, one per order; ``scan`` prepares the order rows."""
+    """Trade transactions, one per order."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     day = F.col("o_orderdate").cast("date")
     days = (F.lit(1) + (key * 31 + cust) % 20).cast("int")
@@ -186,7 +175,7 @@ def transactions(
     }
     default = [c for c in specs if c not in ("order_key", "customer_key")]
     return _project(
-        scan(table(spark, sf_dir, "orders")), specs, joins, default if columns is None else columns
+        table(spark, sf_dir, "orders"), specs, joins, default if columns is None else columns
     )
 
 
@@ -217,13 +206,13 @@ def event_log(events: DataFrame) -> DataFrame:
         "product_type": from_choices(user, _PRODUCTS),
         "applicant_country": F.lit("CA"),
         "beneficiary_country": F.concat(F.lit("NATION_"), (user % 25).cast("string")),
-        "currency": from_choices(user, _CURRENCIES),
-        "amount": (((user * 7919) % 2000) * 1000 + 0.50).cast(MONEY),
+        "currency": from_choices(user + n, _CURRENCIES),
+        "amount": (((user * 7919 + n * 31) % 2000) * 1000 + 0.50).cast(MONEY),
         "status": from_choices(n, ("ACTIVE", "SETTLED", "CLOSED")),
         "processing_days": F.when(n % 5 != 0, 1 + n % 20).cast("int"),
-        "discrepancy_flag": (user % 4 == 0).cast("int"),
-        "delay_flag": (user % 2 == 0).cast("int"),
-        "customer_risk_rating": from_choices(user, ("HIGH", "MEDIUM", "LOW")),
+        "discrepancy_flag": ((user + n) % 4 == 0).cast("int"),
+        "delay_flag": ((user + n) % 2 == 0).cast("int"),
+        "customer_risk_rating": from_choices(user + n, ("HIGH", "MEDIUM", "LOW")),
         "document_type": F.when(
             F.col("event_type") == "view", from_choices(n, ("COMMERCIAL_INVOICE", "PACKING_LIST"))
         ),
@@ -272,9 +261,8 @@ def retail_events(
     spark: SparkSession,
     sf_dir: str,
     columns: Iterable[str] | None = None,
-    scan: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
-    """Retail sale lines with types, one per order line; ``scan`` prepares the fact rows."""
+    """Retail sale lines with types, one per order line."""
     gross = F.col("l_extendedprice").cast(MONEY)
     discount = (gross * F.col("l_discount").cast("decimal(6,2)")).cast(PRICE)
     promoted = F.col("l_discount") >= 0.05
@@ -330,7 +318,7 @@ def retail_events(
     }
     default = [c for c in specs if c != "part_key"]
     return _project(
-        scan(table(spark, sf_dir, "lineitem")), specs, joins, default if columns is None else columns
+        table(spark, sf_dir, "lineitem"), specs, joins, default if columns is None else columns
     )
 
 
@@ -339,7 +327,7 @@ def landed_retail_events(
 ) -> DataFrame:
     """``retail_events`` as landed text, with faults planted by part key."""
     names = _RETAIL_NAMES if columns is None else list(columns)
-    typed = retail_events(spark, sf_dir, [*names, "part_key"], scan=spread)
+    typed = retail_events(spark, sf_dir, [*names, "part_key"])
     k = F.col("part_key")
 
     def text(name: str) -> Column:

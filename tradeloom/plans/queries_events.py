@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tradeloom.operators import events as ev
 from tradeloom.operators import state
 from tradeloom.plans.catalog import query
-from tradeloom.plans.driver_tables import event_log, spread, table
+from tradeloom.plans.driver_tables import event_log, table
 from tradeloom.schemas import TOPIC_FAMILIES
 from tradeloom.session import scratch
 from tradeloom.streaming import jobs, projection, sinks
@@ -21,7 +21,7 @@ _STATE_COLUMNS = """product_type status issue_date expiry_date currency amount a
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_log(spread(table(spark, sf_dir, "events")))
+    return event_log(table(spark, sf_dir, "events"))
 
 
 def _log_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
@@ -49,9 +49,7 @@ def _checked(spark, sf_dir) -> DataFrame:
 
 def _unique(spark, sf_dir) -> DataFrame:
     """First arrival per business transaction: the batch twin of stream dedupe."""
-    parsed = jobs.parsed_log(_log(spark, sf_dir))
-    flat = ev.flatten_events(ev.valid_events(parsed, require_event_id=False))
-    return ev.first_arrivals(ev.business_transactions(flat))
+    return ev.first_arrivals(jobs.arriving_transactions(_log(spark, sf_dir)))
 
 
 # --- Source and envelope ----------------------------------------------------------------------
@@ -350,10 +348,10 @@ def _(spark, sf_dir):
 
 
 def _run_kpis(spark, sf_dir) -> DataFrame:
-    path = scratch(spark, "kpis")
-    rows = jobs.stream_currency_kpis(_log_stream(spark, sf_dir))
-    sinks.complete_stream_sink(rows, path, scratch(spark, "checkpoint")).awaitTermination()
-    return sinks.read_latest(spark, path, rows.schema)
+    root = scratch(spark, "kpis")
+    log = _log_stream(spark, sf_dir)
+    jobs.stream_currency_kpis(log, root, scratch(spark, "checkpoint")).awaitTermination()
+    return sinks.read_latest(spark, f"{root}/kpis", ev.currency_kpis(jobs.arriving_transactions(log)).schema)
 
 
 @query("complete_stream_sink", _KPI_SQL, "uniq")
@@ -373,19 +371,18 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     path = scratch(spark, "unique")
-    rows = jobs.unique_transactions(_log_stream(spark, sf_dir)).select(
-        "transaction_id", "currency", "amount"
-    )
-    sinks.append_stream_sink(rows, path, scratch(spark, "checkpoint")).awaitTermination()
-    return spark.read.schema(rows.schema).parquet(path)
+    log = _log_stream(spark, sf_dir)
+    jobs.stream_dedupe(log, path, scratch(spark, "checkpoint")).awaitTermination()
+    unique = jobs.read_first_arrivals(spark, path, jobs.arriving_transactions(log).schema)
+    return unique.select("transaction_id", "currency", "amount")
 
 
 @query("stream_risk_alerts", _ALERT_SQL, "uniq")
 def _(spark, sf_dir):
     path = scratch(spark, "alerts")
-    rows = jobs.stream_risk_alerts(_log_stream(spark, sf_dir))
-    sinks.append_stream_sink(rows, path, scratch(spark, "checkpoint")).awaitTermination()
-    return spark.read.schema(rows.schema).parquet(path)
+    log = _log_stream(spark, sf_dir)
+    jobs.stream_risk_alerts(log, path, scratch(spark, "checkpoint")).awaitTermination()
+    return jobs.read_alerts(spark, path, jobs.arriving_transactions(log).schema)
 
 
 @query("state_upsert", _STATE_SQL, "checked")

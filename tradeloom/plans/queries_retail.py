@@ -14,7 +14,6 @@ from tradeloom.plans.driver_tables import (
     retail_products,
     retail_promotions,
     retail_stores,
-    spread,
     table,
 )
 from tradeloom.schemas import DATA_DICTIONARY_RAW, RETAIL_EVENTS_RAW
@@ -92,7 +91,7 @@ _VIEW_COUNTS = {"products": "products", "stores": "stores", "promotions": "promo
 @query(
     "jdbc_view_source",
     " UNION ALL ".join(
-        f"SELECT '{v}' AS view_name, {len(SOURCE_VIEWS[v].split())} AS columns, count(*) AS records FROM {r}"
+        f"SELECT '{v}' AS view_name, {len(SOURCE_VIEWS[v])} AS columns, count(*) AS records FROM {r}"
         for v, r in _VIEW_COUNTS.items()
     ),
     "products stores promotions sales",
@@ -382,7 +381,7 @@ def _(spark, sf_dir):
         "province": (table(spark, sf_dir, "nation"), "n_name"),
         "store_region": (table(spark, sf_dir, "region"), "r_name"),
     }
-    facts = retail_events(spark, sf_dir, list(event_keys), scan=spread)
+    facts = retail_events(spark, sf_dir, list(event_keys))
     audits = [
         quality.foreign_key_audit(facts, event_keys, "RetailEvents"),
         quality.foreign_key_audit(stores, store_keys, "Stores"),

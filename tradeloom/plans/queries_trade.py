@@ -9,7 +9,7 @@ from tradeloom.operators import export, portfolio, quality, state
 from tradeloom.operators.events import risk_level, risk_reason, risk_score
 from tradeloom.operators.valuation import fx_valuation
 from tradeloom.plans.catalog import query
-from tradeloom.plans.driver_tables import spread, transactions
+from tradeloom.plans.driver_tables import transactions
 from tradeloom.schemas import TRANSACTION
 from tradeloom.session import scratch
 from tradeloom.sources import files
@@ -209,7 +209,6 @@ def _volume_lines(spark, sf_dir) -> DataFrame:
         spark,
         sf_dir,
         ["order_key", "product_type", "beneficiary_country", "currency", "amount"],
-        scan=spread,
     )
     k = F.col("order_key")
     body = F.to_json(
@@ -269,15 +268,16 @@ def _(spark, sf_dir):
 
 # --- Files ------------------------------------------------------------------------------------
 
-DOCUMENT_ROWS = 100_000
+DOCUMENT_ROWS = 500
 
 
 def _land_json_arrays(rows: DataFrame, path: str) -> None:
-    """Write JSON array documents of about ``DOCUMENT_ROWS`` rows, one document per file."""
-    documents = max(1, -(-rows.count() // DOCUMENT_ROWS))
+    """Write JSON array documents of up to ``DOCUMENT_ROWS`` rows, one document per file."""
+    row = F.monotonically_increasing_id()
     (
         rows.select(
-            F.pmod(F.xxhash64("transaction_id"), F.lit(documents)).alias("document"),
+            # Partition number and place in the partition: consecutive rows share a document.
+            F.floor(row / DOCUMENT_ROWS).alias("document"),
             F.to_json(F.struct("*")).alias("record"),
         )
         .groupBy("document")

@@ -104,14 +104,14 @@ SELECT log.*,
   CASE WHEN readable AND NOT null_payload AND NOT is_fx THEN {_choice('user_id', 'IMPORT_LC EXPORT_LC GUARANTEE COLLECTION')} END AS product_type,
   CASE WHEN readable AND NOT null_payload AND NOT is_fx THEN 'CA' END AS applicant_country,
   CASE WHEN readable AND NOT null_payload AND NOT is_fx THEN 'NATION_' || CAST(user_id % 25 AS VARCHAR) END AS beneficiary_country,
-  CASE WHEN readable AND NOT null_payload AND NOT is_fx THEN {_choice('user_id', 'CAD USD EUR GBP JPY CNY')} END AS currency,
+  CASE WHEN readable AND NOT null_payload AND NOT is_fx THEN {_choice('(user_id + n)', 'CAD USD EUR GBP JPY CNY')} END AS currency,
   CASE WHEN readable AND NOT null_payload AND NOT is_fx
-    THEN CAST(((user_id * 7919) % 2000) * 1000 + 0.50 AS DECIMAL(18,2)) END AS amount,
+    THEN CAST(((user_id * 7919 + n * 31) % 2000) * 1000 + 0.50 AS DECIMAL(18,2)) END AS amount,
   CASE WHEN readable AND NOT null_payload AND NOT is_fx THEN {_choice('n', 'ACTIVE SETTLED CLOSED')} END AS status,
   CASE WHEN readable AND NOT null_payload AND NOT is_fx AND n % 5 <> 0 THEN CAST(1 + n % 20 AS INTEGER) END AS processing_days,
-  CASE WHEN readable AND NOT null_payload AND NOT is_fx THEN CAST(user_id % 4 = 0 AS INTEGER) END AS discrepancy_flag,
-  CASE WHEN readable AND NOT null_payload AND NOT is_fx THEN CAST(user_id % 2 = 0 AS INTEGER) END AS delay_flag,
-  CASE WHEN readable AND NOT null_payload AND NOT is_fx THEN {_choice('user_id', 'HIGH MEDIUM LOW')} END AS customer_risk_rating,
+  CASE WHEN readable AND NOT null_payload AND NOT is_fx THEN CAST((user_id + n) % 4 = 0 AS INTEGER) END AS discrepancy_flag,
+  CASE WHEN readable AND NOT null_payload AND NOT is_fx THEN CAST((user_id + n) % 2 = 0 AS INTEGER) END AS delay_flag,
+  CASE WHEN readable AND NOT null_payload AND NOT is_fx THEN {_choice('(user_id + n)', 'HIGH MEDIUM LOW')} END AS customer_risk_rating,
   CASE WHEN readable AND NOT null_payload AND NOT is_fx AND raw_type = 'view'
     THEN {_choice('n', 'COMMERCIAL_INVOICE PACKING_LIST')} END AS document_type,
   CASE WHEN readable AND NOT null_payload AND is_fx AND n % 74 <> 0 THEN {_choice('n', 'CAD USD EUR GBP JPY CNY')} END AS base_currency,
@@ -138,7 +138,7 @@ FROM env WHERE topic <> 'tf.dlq.events'
         """
 SELECT transaction_id, product_type, beneficiary_country, currency, amount, customer_risk_rating,
   discrepancy_flag, delay_flag
-FROM (SELECT env.*, row_number() OVER (PARTITION BY transaction_id ORDER BY event_time, event_id) AS rn
+FROM (SELECT env.*, row_number() OVER (PARTITION BY transaction_id ORDER BY record_time, topic, partition, n) AS rn
       FROM env WHERE topic <> 'tf.dlq.events' AND readable AND transaction_id LIKE 'TF-%'
         AND amount IS NOT NULL AND currency IS NOT NULL)
 WHERE rn = 1

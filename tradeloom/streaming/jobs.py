@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tradeloom.operators.events import (
     business_transactions,
     currency_kpis,
+    first_arrivals,
     flatten_events,
     high_risk_alerts,
     kafka_metadata_projection,
@@ -16,6 +18,7 @@ from tradeloom.operators.events import (
     valid_events,
 )
 from tradeloom.schemas import TOPIC_FAMILIES
+from tradeloom.streaming.sinks import batch_sink, read_batches, write_version
 
 # The alert job leaves the reference-rate topic out.
 ALERT_FAMILIES = tuple(f for f in TOPIC_FAMILIES if f != "fx")
@@ -31,52 +34,69 @@ def trade_events(log: DataFrame) -> DataFrame:
     return flatten_events(valid_events(parsed_log(log)))
 
 
-# Ways a transaction is split ahead of the final dedupe.
-DEDUPE_SALTS = 8
+def arriving_transactions(
+    log: DataFrame, families=TOPIC_FAMILIES, require_currency: bool = True
+) -> DataFrame:
+    """Events of business transactions with their place in the log."""
+    flat = flatten_events(
+        valid_events(parsed_log(log, families), require_event_id=False), with_arrival=True
+    )
+    return business_transactions(flat, require_currency)
 
 
-def stream_dedupe(
-    rows: DataFrame, watermark: str | None = None, salts: int = DEDUPE_SALTS
-) -> DataFrame:
-    """First event per transaction.
+def write_first_arrivals(batch: DataFrame, batch_id: int, path: str) -> None:
+    """Fold a micro-batch to one event per transaction; a repeated batch overwrites its own folder."""
+    first_arrivals(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
 
-    Without a watermark the state keeps every transaction id ever seen. With one it keeps an id for
-    the given time after its event, which bounds the state by the arrival rate.
+def read_first_arrivals(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """One event per transaction over all batches under ``path``: the one that arrived first."""
+    return first_arrivals(read_batches(spark, path, schema).drop("batch_id"))
 
-    A stream removes duplicates after its shuffle, so all events of a busy transaction would meet
-    in one task. They are first removed per transaction and salt, which spreads them, and of each
-    transaction at most ``salts`` events reach the second step. ``salts=1`` leaves that out.
+
+def stream_dedupe(
+    log: DataFrame,
+    path: str,
+    checkpoint: str,
+    families=TOPIC_FAMILIES,
+    require_currency: bool = True,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Keep the first arrival of every transaction; read it with ``read_first_arrivals``.
+
+    Each micro-batch is folded with a partial aggregate, so a busy transaction costs one row per task,
+    and the batches are folded again on reading. The order is that of the log, not of the micro-batches,
+    so the result does not depend on how the log was cut.
     """
+    return batch_sink(
+        arriving_transactions(log, families, require_currency),
+        lambda batch, batch_id: write_first_arrivals(batch, batch_id, path),
+        checkpoint,
+        interval,
+    )
 
-    def once(stream: DataFrame, *keys: str) -> DataFrame:
-        if watermark is None:
-            return stream.dropDuplicates(list(keys))
-        return stream.dropDuplicatesWithinWatermark(list(keys))
 
-    if watermark is not None:
-        rows = rows.withColumn("event_at", F.col("event_time").try_cast("timestamp")).withWatermark(
-            "event_at", watermark
-        )
-    if salts > 1:
-        rows = rows.withColumn("salt", F.pmod(F.xxhash64("event_id"), F.lit(salts)))
-        rows = once(rows, "transaction_id", "salt")
-    return once(rows, "transaction_id").drop("event_at", "salt")
+def stream_currency_kpis(
+    log: DataFrame, root: str, checkpoint: str, interval: str | None = None
+) -> StreamingQuery:
+    """KPIs per currency over all transactions so far, one version per micro-batch in ``root/kpis``."""
+    rows = arriving_transactions(log)
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_first_arrivals(batch, batch_id, f"{root}/unique")
+        unique = read_first_arrivals(batch.sparkSession, f"{root}/unique", rows.schema)
+        write_version(currency_kpis(unique), batch_id, f"{root}/kpis")
 
-def unique_transactions(
-    log: DataFrame, families=TOPIC_FAMILIES, require_currency: bool = True, watermark: str | None = None
-) -> DataFrame:
-    flat = flatten_events(valid_events(parsed_log(log, families), require_event_id=False))
-    return stream_dedupe(business_transactions(flat, require_currency), watermark)
+    return batch_sink(rows, write, checkpoint, interval)
 
 
-def stream_currency_kpis(log: DataFrame, watermark: str | None = None) -> DataFrame:
-    """KPIs per currency, sorted; for a complete-mode sink."""
-    return currency_kpis(unique_transactions(log, watermark=watermark)).orderBy("currency")
+def stream_risk_alerts(
+    log: DataFrame, path: str, checkpoint: str, interval: str | None = None
+) -> StreamingQuery:
+    """First arrivals of the topics that can raise alerts; ``read_alerts`` gives the alerts."""
+    return stream_dedupe(log, path, checkpoint, ALERT_FAMILIES, require_currency=False, interval=interval)
 
 
-def stream_risk_alerts(log: DataFrame, watermark: str | None = None) -> DataFrame:
-    """Alerts of HIGH transactions; for an append-mode sink."""
-    return high_risk_alerts(
-        unique_transactions(log, ALERT_FAMILIES, require_currency=False, watermark=watermark)
-    )
+def read_alerts(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Alerts of HIGH transactions."""
+    return high_risk_alerts(read_first_arrivals(spark, path, schema))

@@ -71,7 +71,7 @@ class Block:
     def add(self, document, held: bool, text: str | None) -> None:
         words, number = lower_words(text), self.words
         words.append(END)
-        for word in set(words) - number.keys():
+        for word in set(words).difference(number):
             number[word] = len(number)
         self.tokens.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
         self.ids.append(None if document is pd.NA else int(document))

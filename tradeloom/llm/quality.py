@@ -1,8 +1,8 @@
 """Quality rules with risk-controlled cutoffs.
 
 Each rule rejects a document whose statistic is above the cutoff of its stratum. Labelled documents are
-split by a hash of their id: the design half gives the grid of cutoffs, quantiles of the statistic; the
-holdout half certifies. Per stratum and rule the grid is walked from the most lenient cutoff on. A cutoff
+split by a hash of their id: the design half gives the grid of cutoffs, quantiles of the statistic over
+its good documents; the holdout half certifies. Per stratum and rule the grid is walked from the most lenient cutoff on. A cutoff
 is certified if an exact binomial test rejects, on the holdout's good documents, that it turns down more
 than ``risk / rules`` of them; the walk ends at the first that is not (a fixed sequence needs no
 correction for its own steps), and the level is ``delta / (rules x strata)`` (Bonferroni over the rest).
@@ -36,7 +36,9 @@ from pyspark.sql import functions as F
 
 from tradeloom.llm.common import staged
 
-RISK, DELTA, GRID = 0.02, 0.05, 64
+RISK, DELTA = 0.02, 0.05
+# Shares of the good documents that the cutoffs of the grid keep.
+GRID = [0.5, 0.75, 0.9, 0.95, 0.98, 0.99, 0.995, 0.996, 0.997, 0.998, 0.999, 0.9995, 0.9999, 1.0]
 MAX_STRATA, MIN_LABELS = 256, 200
 POOLED = "*"
 
@@ -141,8 +143,9 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", risk: float
         (F.pmod(F.xxhash64("id"), F.lit(2)) == 0).alias("design"),
         F.expr("stack({}, {}) as (rule, value)".format(len(RULES), ", ".join(f"'{r}', {r}" for r in RULES))),
     )
-    grid = F.array_distinct(F.percentile_approx("value", [i / GRID for i in range(1, GRID)] + [0.999, 0.9999], 10_000))
-    grids = values.where("design").groupBy("stratum", "rule").agg(F.sort_array(grid).alias("cutoffs"))
+    grid = F.array_distinct(F.percentile_approx("value", GRID, 10_000))
+    good = values.where("design and quality = 1")
+    grids = good.groupBy("stratum", "rule").agg(F.sort_array(grid).alias("cutoffs"))
     # One row per stratum and rule: at most 257 x 6.
     above = F.size(F.filter("cutoffs", lambda c: F.col("value") > c))
     counted = (

@@ -1,11 +1,15 @@
 """Toxicity grades by cumulative-link (proportional odds) regression.
 
 P(grade > k) = sigmoid(w.x - t_k): one weight vector for all thresholds t_0 < t_1 < ...; x marks the
-distinct letter runs of a text that are in the vocabulary. The expected severity is the sum of
-P(grade > k) over k.
+distinct words (letter runs) and word beginnings of a text that are in the vocabulary. The expected
+severity is the sum of P(grade > k) over k.
+
+Labels say toxic or not. A toxic row of the sample is graded 1, 2 or 3 by how many different features
+it has of those that toxic rows make up the majority of, cut at the terciles of the toxic rows.
 
 The model is fitted on a bounded sample of labelled documents: ``sample_rows`` rows, chosen by a hash
-of the id, and at most ``max_features`` words that occur in ``min_documents`` of them. Both bounds are
+of the id, and at most ``max_features`` words that occur in ``min_documents`` of them and whose
+occurrence depends on toxicity (likelihood ratio statistic of ``min_gain`` or more). The bounds are
 parameters; the sample and the model pass through the driver (20,000 rows of word numbers, about
 10 MB). Every document is scored, on its whole text.
 
@@ -35,19 +39,43 @@ from tradeloom.llm.common import staged
 SAMPLE_ROWS = 20_000
 MAX_FEATURES = 30_000
 MIN_DOCUMENTS = 5
-GRADES = 3
+MIN_GAIN = 30.0
+BEGINNING = 4
 
 LETTERS = re.compile(r"[^\W\d_]+").findall
 SCORE = "struct<severity: double, toxic_probability: double>"
 
 
 def features(text: str | None) -> set[str]:
-    return set(LETTERS(text.lower())) if text else set()
-
-
-def grade() -> Column:
-    """0 for a clean document, 1 for a toxic one, 2 for one that is toxic and of low quality."""
-    return F.col("toxic") + F.col("toxic") * (1 - F.coalesce("quality", F.lit(1)))
+    """Words, and the beginnings of longer ones with a dash, which join the forms of one word."""
+    if not text:
+        return set()
+    found = set(LETTERS(text.lower()))
+    return found | {w[:BEGINNING] + "-" for w in found if len(w) > BEGINNING}
+
+
+def severity_grades(toxic: np.ndarray, strength: np.ndarray) -> np.ndarray:
+    """0 for clean rows; toxic ones 1 to 3 by the terciles of their strength."""
+    if not toxic.any():
+        return np.zeros(len(toxic), np.int64)
+    cuts = np.quantile(strength[toxic], [1 / 3, 2 / 3])
+    return np.where(toxic, 1 + (strength[:, None] > cuts).sum(axis=1), 0)
+
+
+def dependence(hits: Column, n: Column, all_hits: int, rows: int) -> Column:
+    """Likelihood ratio statistic of two marks: ``n`` rows have the first, ``hits`` of them both, and
+    ``all_hits`` of all ``rows`` the second."""
+    cells = [
+        (hits, n * F.lit(all_hits)),
+        (n - hits, n * F.lit(rows - all_hits)),
+        (F.lit(all_hits) - hits, (F.lit(rows) - n) * F.lit(all_hits)),
+        (F.lit(rows - all_hits) - n + hits, (F.lit(rows) - n) * F.lit(rows - all_hits)),
+    ]
+    total = F.lit(0.0)
+    for seen, product in cells:
+        part = seen * F.log(seen * F.lit(float(rows)) / product)
+        total = total + F.when((seen > 0) & (product > 0), part).otherwise(0.0)
+    return 2 * total
 
 
 @dataclass(frozen=True)
@@ -65,7 +93,7 @@ class OrdinalModel:
 
 
 def fit_ordinal(
-    rows: list[np.ndarray], grades: np.ndarray, n_features: int, steps: int = 300, penalty: float = 1e-3
+    rows: list[np.ndarray], grades: np.ndarray, n_features: int, steps: int = 1000, penalty: float = 1e-5
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by gradient descent (Adam) on the likelihood of the grades.
 
@@ -114,40 +142,46 @@ def fit(
     sample_rows: int = SAMPLE_ROWS,
     max_features: int = MAX_FEATURES,
     min_documents: int = MIN_DOCUMENTS,
+    min_gain: float = MIN_GAIN,
 ) -> OrdinalModel:
-    """Fit on labelled documents (``labels``: ``id_col``, ``quality``, ``toxic``)."""
-    graded = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isNotNull()).select(
-        F.col(id_col).alias("id"), F.least(grade(), F.lit(GRADES - 1)).cast("int").alias("grade")
+    """Fit on labelled documents (``labels``: ``id_col``, ``toxic`` 0 or 1)."""
+    marked = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isNotNull()).select(
+        F.col(id_col).alias("id"), (F.col("toxic") > 0).alias("toxic")
     )
-    share = min(1.0, sample_rows / max(1, graded.count()))
-    sample = graded.where((F.xxhash64("id") / F.lit(2.0**64) + 0.5) < share)
+    share = min(1.0, sample_rows / max(1, marked.count()))
+    sample = marked.where((F.xxhash64("id") / F.lit(2.0**64) + 0.5) < share)
     # The sample has about ``sample_rows`` rows of two numbers, whatever the size of the tables.
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"grade": batch["grade"], "words": [sorted(features(t)) for t in batch["text"]]})
+            yield pd.DataFrame({"toxic": batch["toxic"], "words": [sorted(features(t)) for t in batch["text"]]})
 
-    rows = staged(texts.mapInPandas(split, "grade int, words array<string>"), "labelled")
+    rows = staged(texts.mapInPandas(split, "toxic boolean, words array<string>"), "labelled")
+    size = rows.agg(F.count("*").alias("n"), F.sum(F.col("toxic").cast("int")).alias("hits")).first()
     common = (
-        rows.select(F.explode("words").alias("word"))
+        rows.select(F.explode("words").alias("word"), F.col("toxic").cast("int").alias("toxic"))
         .groupBy("word")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n"), F.sum("toxic").alias("hits"))
         .where(F.col("n") >= min_documents)
+        .where(dependence(F.col("hits"), F.col("n"), size["hits"] or 0, size["n"]) >= min_gain)
         .orderBy(F.desc("n"), "word")
         .limit(max_features)
     )
-    vocabulary = {r["word"]: i for i, r in enumerate(common.collect())}
+    chosen = common.collect()
+    vocabulary = {r["word"]: i for i, r in enumerate(chosen)}
+    marks = np.array([2 * r["hits"] > r["n"] for r in chosen], np.int64)
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [[vocabulary[w] for w in ws if w in vocabulary] for ws in batch["words"]]
-            yield pd.DataFrame({"grade": batch["grade"], "found": found})
+            yield pd.DataFrame({"toxic": batch["toxic"], "found": found})
 
-    sparse = rows.mapInPandas(number, "grade int, found array<int>").toPandas()
+    sparse = rows.mapInPandas(number, "toxic boolean, found array<int>").toPandas()
     if not len(sparse):
         return OrdinalModel({}, (50.0,))
-    grades = sparse["grade"].to_numpy(np.int64)
+    strength = np.array([marks[np.asarray(f, np.int64)].sum() for f in sparse["found"]])
+    grades = severity_grades(sparse["toxic"].to_numpy(bool), strength)
     weights, limits = fit_ordinal(list(sparse["found"]), grades, len(vocabulary))
     return OrdinalModel(dict(zip(vocabulary, weights.tolist(), strict=True)), tuple(limits.tolist()))
 

@@ -79,3 +79,12 @@ def test_bulk_load_needs_keys(spark, sf_dir, tmp_path):
     rows = transactions(spark, sf_dir).limit(5).withColumn("transaction_id", F.lit(None).cast("string"))
     with pytest.raises(ValueError, match="missing transaction_id"):
         export.bulk_load(rows, str(tmp_path / "store"), "test")
+
+
+def test_lookups_push_the_key_to_the_sorted_store(spark, sf_dir, tmp_path):
+    store = export.bulk_load(transactions(spark, sf_dir), str(tmp_path / "store"), "test")
+    key = store.agg(F.max(":key")).first()[0]
+    for found in (state.point_lookup(store, key, ":key"), state.prefix_scan(store, key[:7], 3, ":key")):
+        pushed = found._jdf.queryExecution().executedPlan().toString().split("PushedFilters: [")[1].split("]")[0]
+        assert "EqualTo(" in pushed or "StringStartsWith(" in pushed, pushed
+    assert state.point_lookup(store, key, ":key").count() == 1

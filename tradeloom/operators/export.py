@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.operators.portfolio import report
 from tradeloom.operators.state import to_string_store
-from tradeloom.schemas import RESULT_TOPICS
+from tradeloom.schemas import RESULT_CELLS, RESULT_TOPICS
 
 ZONES = {
     "raw": ("transactions", "customers", "counterparties", "events"),
@@ -78,6 +78,34 @@ def result_rows(
     )
 
 
+# Digits that stored scores, probabilities and days keep (fixed values).
+RESULT_DIGITS = {"anomaly_score": 6, "probability": 6, "expected_days": 2}
+
+
+def rounded_results(results: DataFrame) -> DataFrame:
+    """Result rows with their numbers rounded, half up."""
+    kept = {c: d for c, d in RESULT_DIGITS.items() if c in results.columns}
+    return results.withColumns(
+        {c: F.round(F.col(c).cast("decimal(28,10)"), d).cast("double") for c, d in kept.items()}
+    )
+
+
+def result_store(results: DataFrame) -> DataFrame:
+    """Result rows as string cells under their key; see ``state.result_mapping`` for the way back."""
+    names = {"risk_class": "anomaly_class"} if "anomaly_class" in results.columns else {}
+    cells = {cell: names.get(name, name) for name, cell in RESULT_CELLS.items()}
+    cells |= {
+        f"evaluation:{c.removeprefix('evaluation_')}": c for c in results.columns if c.startswith("evaluation_")
+    }
+    return results.select(
+        F.col("result_key").alias(":key"),
+        *[
+            (F.col(c) if c in results.columns else F.lit(None)).cast("string").alias(cell)
+            for cell, c in cells.items()
+        ],
+    )
+
+
 def ml_result_sink(results: DataFrame, base: str, model: str, version: str) -> str:
     """Replace the stored results of one model version."""
     path = f"{base}/model_name={model}/model_version={version}"

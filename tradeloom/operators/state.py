@@ -248,17 +248,23 @@ _STORE_TYPES = {
 
 def hive_typed_mapping(store: DataFrame, cells: dict[str, str] | None = None) -> DataFrame:
     """Typed columns over string cells; text that does not fit its type reads as null."""
-    results = cells is RESULT_CELLS
+    results = cells is not None and "model_name" in cells
     mapping = cells or {k: v for k, v in TRANSACTION_CELLS.items() if k != "counterparty_relationship_years"}
     return store.select(
         F.col(":key").alias("result_key" if results else "transaction_id"),
         *[
-            F.col(f"`{cell}`").try_cast(_STORE_TYPES.get(name, "string")).alias(name)
+            F.col(f"`{cell}`").try_cast(_STORE_TYPES.get(name, "double" if name.startswith("evaluation_") else "string")).alias(name)
             for name, cell in mapping.items()
         ],
     )
 
 
+def result_mapping(store: DataFrame) -> DataFrame:
+    """Typed columns over stored model results, with one number per evaluation cell."""
+    measured = [c for c in store.columns if c.startswith("evaluation:")]
+    return hive_typed_mapping(store, RESULT_CELLS | {c.replace(":", "_"): c for c in measured})
+
+
 def current_state_scan(store: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Typed model input rows, and the rows that could not be read.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.ml import features, forecast, forests, metrics, risk, sampling
 from tradeloom.ml.isolation_forest import fit_isolation_forest
-from tradeloom.operators import bi, export, ranking
+from tradeloom.operators import bi, export, ranking, state
 from tradeloom.plans.catalog import query
 from tradeloom.plans.driver_tables import model_scores, transactions
 from tradeloom.session import scratch
@@ -299,6 +299,29 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "ml_result_mapping",
+    """SELECT k || '#document_discrepancy#1.0' AS result_key, 'document_discrepancy' AS model_name, '1.0' AS model_version,
+    CAST(NULL AS DOUBLE) AS anomaly_score, CASE WHEN p >= 0.7 THEN 'HIGH' ELSE 'LOW' END AS risk_class,
+    CAST(round(CAST(p AS DECIMAL(28,10)), 6) AS DOUBLE) AS probability, CAST(round(CAST(p * 20 AS DECIMAL(28,10)), 2) AS DOUBLE) AS expected_days,
+    CAST(NULL AS VARCHAR) AS forecast_month, CAST(NULL AS DOUBLE) AS predicted_transactions, 0.5e0 AS evaluation_f1 FROM scores""",
+    "scores",
+)
+def _(spark, sf_dir):
+    """Results through the string store and back."""
+    scored = model_scores(spark, sf_dir).select(
+        "k",
+        F.col("p").alias("probability"),
+        (F.col("p") * 20).alias("expected_days"),
+        F.when(F.col("p") >= 0.7, "HIGH").otherwise("LOW").alias("risk_class"),
+    )
+    values = ["probability", "expected_days", "risk_class"]
+    results = export.result_rows(scored, "k", "document_discrepancy", "1.0", values, {"f1": 0.5})
+    path = scratch(spark, "result-store")
+    export.result_store(export.rounded_results(results)).write.parquet(path)
+    return state.result_mapping(spark.read.parquet(path)).drop("prediction_timestamp")
+
+
 # --- Forecast ---------------------------------------------------------------------------------
 
 

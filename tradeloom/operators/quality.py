@@ -242,11 +242,16 @@ QUARANTINE_FALLBACK = "Failed source-data validation"
 
 
 def quarantine(lines: DataFrame) -> DataFrame:
-    """Cleaned text of lines from ``read_sale_lines`` with the reasons for which they stay out."""
+    """Cleaned text of lines from ``read_sale_lines`` with the reasons for which they stay out, and when
+    that was found."""
     reason = F.coalesce(
         F.nullif(join_reasons(quarantine_rules()), F.lit("")), F.lit(QUARANTINE_FALLBACK)
     )
-    return lines.select(*RETAIL_EVENTS_RAW.fieldNames(), reason.alias("rejection_reason"))
+    return lines.select(
+        *RETAIL_EVENTS_RAW.fieldNames(),
+        reason.alias("rejection_reason"),
+        F.current_timestamp().alias("rejected_at"),
+    )
 
 
 def quarantine_reasons(staged: DataFrame) -> DataFrame:

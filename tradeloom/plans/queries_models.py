@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -112,18 +113,10 @@ def _(spark, sf_dir):
     for category, levels in zip(features.CATEGORICAL, indexer.labelsArray):
         names += [(offset + i, category, level) for i, level in enumerate(levels)]
         offset += len(levels)
-    from pyspark.ml.functions import vector_to_array
-
-    sums = (
-        model.transform(frame)
-        .select(F.posexplode(vector_to_array("features")).alias("position", "value"))
-        .filter(F.col("value") == 1.0)
-        .filter(F.col("position") >= len(features.NUMERIC))
-        .groupBy("position")
-        .agg(F.count(F.lit(1)).alias("indicator_sum"))
-    )
-    labels = spark.createDataFrame(names, "position int, category string, level string")
-    return sums.join(labels, "position").select("category", "level", "indicator_sum")
+    # Summed as sparse vectors: one number per level, never a row per level and transaction.
+    sums = model.transform(frame).select(Summarizer.sum(F.col("features"))).first()[0]
+    rows = [(category, level, int(sums[position])) for position, category, level in names if sums[position]]
+    return spark.createDataFrame(rows, "category string, level string, indicator_sum long")
 
 
 _SPLIT_SQL = """SELECT k, y, CASE WHEN rn <= CAST(ceil(round(0.20e0 * n, 6)) AS BIGINT) THEN 'test'

@@ -39,7 +39,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.common import lower_words, select_documents, staged, text_digest
@@ -217,11 +217,18 @@ def _differences(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     (1 - t) / (1 + t) (|x| + |y|) shingles, and that is |Dx| + |Dy| less twice what the differences
     Dx and Dy from the lead share. If x is not linked with the lead, they must then share one; and by
     the prefix argument one of the first floor((1 - t) / t |x|) + 1 of either. ``size`` is |x|, ``far``
-    is |Dx|, ``place`` the shingle's place in Dx.
+    is |Dx|, ``place`` the shingle's place in Dx, ``bits0`` and ``bits1`` mark its shingles by 7 bits of
+    their hashes.
     """
     own, gone = F.array_except("y", "x"), F.array_except("x", "y")
     ordered = F.concat(F.sort_array(own), F.sort_array(gone))
     first = F.floor(F.size("y") * (100 - percent) / percent).cast("int") + 1
+
+    def marks(word: int) -> Column:
+        mine = F.filter("all", lambda e: F.shiftright(e, 6).bitwiseAND(F.lit(1)) == word)
+        bit = lambda e: F.call_function("shiftleft", F.lit(1).cast("long"), e.bitwiseAND(F.lit(63)).cast("int"))
+        return F.aggregate(mine, F.lit(0).cast("long"), lambda acc, e: acc.bitwiseOR(bit(e)))
+
     both = _with_sets(stars.withColumnsRenamed({"lead": "a", "id": "b"}), sets).select(
         F.col("a").alias("lead"), F.col("b").alias("id"), "component", "outside", ordered.alias("all"), first.alias("first"), F.size("y").alias("size")
     )
@@ -232,6 +239,8 @@ def _differences(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "outside",
         "size",
         F.size("all").alias("far"),
+        marks(0).alias("bits0"),
+        marks(1).alias("bits1"),
         F.posexplode(F.slice("all", F.lit(1), F.col("first"))).alias("place", "shingle"),
     )
 
@@ -253,11 +262,16 @@ def _across(stars: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -
     # The sets may differ in so many shingles. For given |Dx| and |Dy|, the shared shingle is even among
     # the first (|Dx| - |Dy| + apart) / 2 + 1 of Dx, and likewise of Dy.
     apart = f"(x.size + y.size) * {100 - percent} / {100 + percent}"
+    # Each mark of Dx that Dy lacks stands for a shingle of Dx, at least, that is not shared.
+    shared = f"(x.far + y.far - {apart}) / 2"
+    most_x = "x.far - bit_count(x.bits0 & ~y.bits0) - bit_count(x.bits1 & ~y.bits1)"
+    most_y = "y.far - bit_count(y.bits0 & ~x.bits0) - bit_count(y.bits1 & ~x.bits1)"
     return (
         marks.where("outside").alias("x")
         .join(marks.alias("y"), ["lead", "shingle"])
         .where("x.component != y.component")
         .where(f"2 * x.place <= x.far - y.far + {apart} and 2 * y.place <= y.far - x.far + {apart}")
+        .where(f"{shared} <= {most_x} and {shared} <= {most_y}")
         .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
         .distinct()
     )

@@ -45,7 +45,7 @@ from tradeloom.llm.common import lower_words, staged
 
 END = b""
 START = 0
-BLOCK = 1 << 21
+BLOCK = 1 << 22
 EXACT = 64
 CONTEXT_SHARE = 1 / 2000
 DISCOUNT, STRENGTH = 0.75, 1.0
@@ -310,6 +310,43 @@ def fit(docs: DataFrame, counted: DataFrame, id_col: str = "doc_id", text_col: s
     return Model(seated, _totals(seated, len(contexts) + 1, size["v"]), contexts, size["n"])
 
 
+# What scoring needs of a word: its training count, its probability at the root, its number as a
+# context or -1; then per context it was seen in what its own tables there give it.
+HEAD = np.dtype([("n", "<i8"), ("root", "<f8"), ("context", "<i4")])
+PAIR = np.dtype([("context", "<u4"), ("own", "<f8")])
+
+
+def packed(model: Model) -> DataFrame:
+    """(``word``, ``word_model``): the seated words as bytes, short enough to send to every block."""
+    totals, contexts = model.totals, model.contexts
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            head = np.empty(len(batch), HEAD)
+            head["n"] = batch["n"]
+            head["root"] = totals.root(batch["root_customers"].to_numpy(), batch["root_tables"].to_numpy())
+            head["context"] = [contexts.get(bytes(w), -1) for w in batch["word"]]
+            lengths = np.array([len(x) for x in batch["contexts"]], np.int64)
+            where, c, t = (np.concatenate([np.empty(0), *batch[x]]) for x in ("contexts", "counts", "tables"))
+            pairs = np.empty(len(where), PAIR)
+            pairs["context"] = where
+            pairs["own"] = (c - DISCOUNT * t) / (STRENGTH + totals.customers[pairs["context"].astype(np.int64)])
+            heads, tails = head.tobytes(), pairs.tobytes()
+            ends = np.cumsum(lengths) * PAIR.itemsize
+            starts = ends - lengths * PAIR.itemsize
+            yield pd.DataFrame(
+                {
+                    "word": batch["word"],
+                    "word_model": [
+                        heads[i * HEAD.itemsize : (i + 1) * HEAD.itemsize] + tails[a:b]
+                        for i, (a, b) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True))
+                    ],
+                }
+            )
+
+    return model.seated.mapInPandas(run, "word binary, word_model binary")
+
+
 SCORES = (
     "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 )
@@ -317,44 +354,26 @@ SCORES = (
 
 def score(model: Model, counted: DataFrame) -> DataFrame:
     """Per document its token counts, its base score and its log10 probability under the model."""
-    totals, contexts, tokens = model.totals, model.contexts, model.tokens
+    totals, tokens = model.totals, model.tokens
     backoff = totals.backoff()
     unseen = float(totals.root(0.0, 0.0))
     words = counted.where("word is not null").select("block", "number", "word")
-    own = F.when(F.col("n").isNotNull(), F.struct("n", "contexts", "counts", "tables", "root_customers", "root_tables"))
-    known = words.join(model.seated, "word", "left").select("block", "number", "word", own.alias("seat"))
-    known = known.select(
-        "block",
-        "number",
-        # The word itself is needed only to tell contexts.
-        F.when(F.length("word") <= max(map(len, contexts), default=0), F.col("word")).alias("word"),
-        F.coalesce("seat.n", F.lit(0)).alias("n"),
-        "seat.contexts",
-        "seat.counts",
-        "seat.tables",
-        "seat.root_customers",
-        "seat.root_tables",
-    )
+    known = words.join(packed(model), "word", "left").select("block", "number", "word_model")
     texts = counted.where("word is null").select(F.col("block").alias("home"), "ids", "held", "lengths", "tokens")
 
     def run(texts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         out = []
         size = len(known)
-        at = known["number"].to_numpy()
-        count, root, context = np.zeros(size, np.int64), np.zeros(size), np.full(size, -1)
-        count[at] = known["n"].to_numpy()
-        root[at] = totals.root(known["root_customers"].fillna(0.0).to_numpy(), known["root_tables"].fillna(0.0).to_numpy())
-        root[count == 0] = unseen
-        context[at] = [-1 if w is None else contexts.get(bytes(w), -1) for w in known["word"]]
-        some = known[known["n"] > 0]
-        lengths = np.array([len(x) for x in some["contexts"]], np.int64)
-        word = np.repeat(some["number"].to_numpy().astype(np.int64), lengths)
-        where, c, t = (
-            np.concatenate([np.empty(0), *some[name]]) for name in ("contexts", "counts", "tables")
-        )
-        where = where.astype(np.int64)
+        known = known[known["word_model"].notna()]
+        at = known["number"].to_numpy().astype(np.int64)
+        head = np.frombuffer(b"".join([m[: HEAD.itemsize] for m in known["word_model"]]), HEAD)
+        pairs = np.frombuffer(b"".join([m[HEAD.itemsize :] for m in known["word_model"]]), PAIR)
+        lengths = np.array([(len(m) - HEAD.itemsize) // PAIR.itemsize for m in known["word_model"]], np.int64)
+        count, root, context = np.zeros(size, np.int64), np.full(size, unseen), np.full(size, -1)
+        count[at], root[at], context[at] = head["n"], head["root"], head["context"]
+        word, where = np.repeat(at, lengths), pairs["context"].astype(np.int64)
         key = where * size + word
-        p = (c - DISCOUNT * t) / (STRENGTH + totals.customers[where]) + backoff[where] * root[word]
+        p = pairs["own"] + backoff[where] * root[word]
         order = np.argsort(key)
         key, p = key[order], p[order]
         base = np.log10((count + 1) / (tokens + totals.words + 1))

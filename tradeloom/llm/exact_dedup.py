@@ -93,8 +93,10 @@ def decide(
         .join(index.read(), "digest")
         .select("digest", "keep_id", "group_size", F.lit(False).alias("is_new"))
     )
-    # Both sides of this join are shuffled, so adaptive execution can split a hot digest.
-    return rows.join(fresh.unionByName(known), "digest").select(
+    # Written first, so that both sides of this join are plain shuffles: adaptive execution can then
+    # split a hot digest among several tasks.
+    keepers = staged(fresh.unionByName(known), "keepers")
+    return rows.join(keepers, "digest").select(
         "id",
         "digest",
         "keep_id",

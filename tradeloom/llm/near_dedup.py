@@ -304,7 +304,7 @@ def decide(
 
     def sets_of(ids: DataFrame) -> DataFrame:
         texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        return _shingle_sets(texts.join(ids, "id", "left_semi"), width).dropDuplicates(["id"])
+        return _shingle_sets(texts.join(ids.hint("merge"), "id", "left_semi"), width).dropDuplicates(["id"])
 
     parts = components(find_links(classes.drop("set_key"), sets_of, percent))
     placed = classes.select("set_key", F.col("id").alias("__class")).join(

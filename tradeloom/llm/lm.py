@@ -1,22 +1,25 @@
 """Scoring by a hierarchical Pitman-Yor language model.
 
-The root restaurant seats words; every frequent word is a context with a restaurant of its own for the
-words that follow it, and all contexts share the root as their parent. Words after other words are
-customers of the root. A word is a context if it makes up ``context_share`` of the training tokens, so
-there are at most 1 / context_share of them; the start of a text is one more.
+The root restaurant seats words; every training word is a context with a restaurant of its own for the
+words that follow it, one more is the start of a text, and all contexts share the root as their parent.
+With a ``context_share`` above 0 only words with that share of the training tokens are contexts, and words
+after other words are customers of the root.
 
 Seating is sampled by Gibbs, dish by dish. Given the tables of the others, the number of tables of a
 dish with c customers has the probability S(c, t) x (parent probability)^t x prod (theta + d (T + i)),
 with S the generalised Stirling number, and is drawn from it exactly for c up to ``EXACT``. Further
 customers of the dish are seated after these by the restaurant's rule, in steps of a sixteenth of those
-already seated. A word's tables in all contexts are its customers in the root, so one row per word holds
-all that its sweep needs; the restaurants' totals T are exchanged between rounds (two numbers per
-restaurant pass through the driver). The seating is averaged over the sampled sweeps, and the predictive
-probabilities of that average, which sum to one, score the texts.
-
-Scoring joins per block of documents, not per token: a task writes the tokens of about ``BLOCK`` words
-as numbers of the block's own vocabulary, the vocabulary is joined with the model, and each block meets
-its part of the model again. A word in every document costs one row per block.
+already seated. A word's tables in all contexts are its customers in the root, so a task sweeps over the
+(context, word) pairs of whole words; a word with more than ``PART`` contexts is dealt to several tasks,
+each of which takes the others' tables from the round before. The restaurants' totals T are a table that
+is joined by context between rounds (only the root's two numbers pass through the driver). The seating is
+averaged over the sampled sweeps, and the predictive probabilities of that average, which sum to one,
+score the texts.
+
+Counting and scoring join per block of documents, not per token: a task writes the tokens of about
+``BLOCK`` words as numbers of the block's own vocabulary, the vocabulary is joined with the words' ids, and
+each block gives its distinct (context, word) pairs. Pairs are counted from these, and for scoring these
+are joined with the seated pairs, so a block meets only the pairs that occur in it.
 
 Defined results
     null or empty text  one token, the end
@@ -31,9 +34,9 @@ Defined results
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -44,10 +47,13 @@ from pyspark.sql import functions as F
 from tradeloom.llm.common import lower_words, staged
 
 END = b""
-START = 0
-BLOCK = 1 << 22
+# Contexts beside the words' ids, which are 0 and above: a text's start, and none (customers of the root).
+START, ROOT = -1, -2
+BLOCK = 1 << 21
+# Contexts of one word that a task sweeps together, and pairs that are drawn at a time.
+PART, DRAWN = 1 << 16, 1 << 18
 EXACT = 64
-CONTEXT_SHARE = 1 / 2000
+CONTEXT_SHARE = 0.0
 DISCOUNT, STRENGTH = 0.75, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.75, 1.0
 BURN_IN, SAMPLES = 3, 4
@@ -79,7 +85,8 @@ class Block:
         self.size += len(words)
 
     def rows(self, block: int) -> Iterator[pd.DataFrame]:
-        """One row with the tokens, then one per word with its count in training documents."""
+        """One row with the tokens and the number of words, then one per word with its count in training
+        documents."""
         if not self.ids:
             return
         learnt = [t for t, held in zip(self.tokens, self.held, strict=True) if not held]
@@ -88,7 +95,7 @@ class Block:
             "block": [block],
             "word": [None],
             "number": [-1],
-            "n": [0],
+            "n": [len(self.words)],
             "ids": [self.ids],
             "held": [self.held],
             "lengths": [[len(t) for t in self.tokens]],
@@ -126,31 +133,40 @@ def blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return staged(rows.mapInPandas(run, BLOCK_ROWS), "blocks")
 
 
-def followers(docs: DataFrame, contexts: dict[bytes, int], id_col: str, text_col: str) -> DataFrame:
-    """(``word``, ``context``, ``n``): training counts after each context."""
+def codes(tokens: np.ndarray, lengths: np.ndarray, size: int) -> np.ndarray:
+    """Per token of a block its pair with the token before, as one number; ``size`` is a text's start."""
+    before = np.empty(len(tokens), np.int64)
+    before[1:] = tokens[:-1]
+    before[np.cumsum(lengths) - lengths] = size
+    return before * size + tokens
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
 
-        def flush() -> pd.DataFrame:
-            return pd.DataFrame(
-                {"word": [w for _, w in seen], "context": [c for c, _ in seen], "n": list(seen.values())}
-            )
+def numbered(counted: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of the rows of ``blocks``: (``block``, ``number``, ``id``), the words with their ids, null if unknown;
+    (``block``, ``code``, ``context``, ``word``, ``n``), the distinct pairs of known words with their counts
+    in training documents."""
+    vocabulary = counted.where("word is not null").select("block", "number", "word")
+    known = staged(vocabulary.join(words.select("word", "id"), "word", "left").select("block", "number", "id"), "known")
+    texts = counted.where("word is null").select(F.col("block").alias("home"), "held", "lengths", "tokens")
 
-        for batch in batches:
-            for text in batch["text"]:
-                words = lower_words(text)
-                words.append(END)
-                seen[START, words[0]] += 1
-                seen.update([(contexts[p], w) for p, w in zip(words, words[1:], strict=False) if p in contexts])
-                if len(seen) > 400_000:
-                    yield flush()
-                    seen.clear()
-        yield flush()
+    def run(texts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        size = len(known)
+        ids = np.full(size + 1, ROOT)
+        ids[known["number"].to_numpy()] = known["id"].fillna(ROOT).to_numpy().astype(np.int64)
+        ids[size] = START
+        out = []
+        for row in texts.itertuples():
+            lengths = np.asarray(row.lengths)
+            code = codes(np.frombuffer(zlib.decompress(row.tokens), np.int32), lengths, size)
+            code, place = np.unique(code, return_inverse=True)
+            learnt = np.repeat(~np.asarray(row.held, bool), lengths)
+            n = np.bincount(place, weights=learnt, minlength=len(code)).astype(np.int64)
+            pairs = pd.DataFrame({"block": row.home, "code": code, "context": ids[code // size], "word": ids[code % size], "n": n})
+            out.append(pairs[(pairs["context"] != ROOT) & (pairs["word"] != ROOT)])
+        return pd.concat(out)
 
-    learnt = docs.where(~is_held_out(id_col)).select(F.col(text_col).alias("text"))
-    counted = learnt.mapInPandas(run, "word binary, context int, n long")
-    return counted.groupBy("word", "context").agg(F.sum("n").alias("n"))
+    schema = "block long, code long, context long, word long, n long"
+    return known, staged(texts.groupBy("home").cogroup(known.groupBy("block")).applyInPandas(run, schema), "pairs")
 
 
 def stirling(limit: int, discount: float) -> np.ndarray:
@@ -198,10 +214,10 @@ class Restaurant:
 
 @dataclass(frozen=True)
 class Totals:
-    """Per context its customers and tables; of the root its customers, tables, and number of words."""
+    """Per context its customers and tables, as a table; of the root its customers, tables, and number of
+    words."""
 
-    customers: np.ndarray
-    tables: np.ndarray
+    contexts: DataFrame
     root_customers: float
     root_tables: float
     words: int
@@ -211,140 +227,170 @@ class Totals:
         rest = (ROOT_STRENGTH + ROOT_DISCOUNT * self.root_tables) / (self.words + 1)
         return (customers - ROOT_DISCOUNT * tables + rest) / (ROOT_STRENGTH + self.root_customers)
 
-    def backoff(self) -> np.ndarray:
+    # For a look at small models: these gather one number per context.
+    @cached_property
+    def customers(self) -> dict[int, float]:
+        return {r["context"]: r["customers"] for r in self.contexts.collect()}
+
+    def backoff(self) -> dict[int, float]:
         """Per context the weight of the root's probability."""
-        return (STRENGTH + DISCOUNT * self.tables) / (STRENGTH + self.customers)
+        return {r["context"]: r["weight"] for r in self.contexts.select("context", F.expr(BACKOFF).alias("weight")).collect()}
+
+
+SEATED = "word long, context long, n long, tables double, share double, root_tables double"
+
+
+def _drawn(rows: dict[str, np.ndarray], root: tuple, sweeps: int, samples: int, seed: int) -> pd.DataFrame:
+    """Sweeps over the pairs of whole groups (word, part). Per pair its tables and the share of its
+    context's probability they leave it; then per group, without a context, its tables and root tables."""
+    totals = Totals(None, *root)
+    word, n, fixed = rows["word"], rows["n"], rows["context"] == ROOT
+    first = np.flatnonzero(np.r_[True, (np.diff(word) != 0) | (np.diff(rows["part"]) != 0)])
+    groups = len(first)
+    owner = np.repeat(np.arange(groups), np.diff(np.r_[first, len(word)]))
+    add = lambda x: np.bincount(owner, weights=x, minlength=groups).astype(np.int64)
+    t = rows["tables"].astype(np.int64)
+    others = np.maximum(rows["all_tables"] - t, 0)[~fixed]
+    elsewhere = np.where(rows["word_tables"][first] < 0, 0, rows["word_tables"][first] - add(t)).astype(np.int64)
+    context, place = Restaurant(DISCOUNT, STRENGTH), Restaurant(ROOT_DISCOUNT, ROOT_STRENGTH)
+    rng = np.random.default_rng([seed, int(word[0]), int(rows["part"][0]), len(word)])
+    size = elsewhere + add(t)
+    own = np.minimum(size, 1)
+    base = np.full(groups, 1 / (totals.words + 1))
+    sums = np.zeros(len(word)), np.zeros(groups)
+    for sweep in range(sweeps):
+        t[~fixed] = context.draw(rng, n[~fixed], others, totals.root(size, own)[owner[~fixed]])
+        size = elsewhere + add(t)
+        own = place.draw(rng, size, np.maximum(totals.root_tables - own, 0), base)
+        if sweep >= sweeps - samples:
+            sums[0][:] += t / samples
+            sums[1][:] += own / samples
+    share = np.where(fixed, 0.0, (n - DISCOUNT * sums[0]) / (STRENGTH + rows["customers"]))
+    pairs = pd.DataFrame({"word": word, "context": pd.array(rows["context"], "Int64"), "n": n, "tables": sums[0], "share": share, "root_tables": 0.0})
+    of = np.bincount(owner, weights=sums[0], minlength=groups)
+    ends = pd.DataFrame({"word": word[first], "context": pd.array([None] * groups, "Int64"), "n": 0, "tables": of, "share": 0.0, "root_tables": sums[1]})
+    return pd.concat([pairs, ends])
+
+
+def seat(pairs: DataFrame, totals: Totals, sweeps: int, samples: int, seed: int) -> DataFrame:
+    """Gibbs sweeps over ``pairs`` (``context``, ``word``, ``n``, ``tables``); the last ``samples`` sweeps
+    are averaged."""
+    root = totals.root_customers, totals.root_tables, totals.words
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["word", "part", "context", "n", "tables", "customers", "all_tables", "word_tables"]
+        held: list[pd.DataFrame] = []
+
+        def drawn(last: bool) -> Iterator[pd.DataFrame]:
+            rows = {c: np.concatenate([x[c].to_numpy() for x in held]) for c in names}
+            # The last group may go on in the next batch.
+            end = len(rows["word"])
+            if not last:
+                same = (rows["word"] == rows["word"][-1]) & (rows["part"] == rows["part"][-1])
+                end = int(np.argmax(same))
+            rest = pd.DataFrame({c: x[end:] for c, x in rows.items()})
+            held[:] = [rest]
+            if end:
+                yield _drawn({c: x[:end] for c, x in rows.items()}, root, sweeps, samples, seed)
 
-SEATED = "word binary, n long, contexts array<int>, counts array<long>, tables array<double>, root_customers double, root_tables double"
+        for batch in batches:
+            held.append(batch)
+            if sum(map(len, held)) >= DRAWN:
+                yield from drawn(False)
+        if sum(map(len, held)):
+            yield from drawn(True)
+
+    large = (
+        pairs.groupBy("word")
+        .agg(F.count("*").alias("contexts"), F.sum("tables").alias("word_tables"))
+        .where(F.col("contexts") > PART)
+        .select("word", F.ceil(F.col("contexts") / PART).alias("parts"), "word_tables")
+    )
+    rows = (
+        pairs.join(totals.contexts.withColumnRenamed("tables", "all_tables"), "context", "left")
+        .join(large, "word", "left")
+        .select(
+            "word",
+            F.coalesce(F.pmod(F.xxhash64("context"), "parts"), F.lit(0)).cast("long").alias("part"),
+            "context",
+            "n",
+            "tables",
+            F.coalesce("customers", F.lit(0.0)).alias("customers"),
+            F.coalesce("all_tables", F.lit(0.0)).alias("all_tables"),
+            F.coalesce("word_tables", F.lit(-1.0)).alias("word_tables"),
+        )
+    )
+    return rows.repartition("word", "part").sortWithinPartitions("word", "part").mapInPandas(run, SEATED)
 
 
-def seat(rows: DataFrame, totals: Totals, sweeps: int, samples: int, seed: int) -> DataFrame:
-    """Gibbs sweeps over words (``word``, ``n``, ``contexts``, ``counts``); the last ``samples`` sweeps
-    are averaged."""
+BACKOFF = f"({STRENGTH}D + {DISCOUNT}D * tables) / ({STRENGTH}D + customers)"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        context, root = Restaurant(DISCOUNT, STRENGTH), Restaurant(ROOT_DISCOUNT, ROOT_STRENGTH)
-        for batch in batches:
-            if not len(batch):
-                continue
-            lengths = np.array([len(x) for x in batch["contexts"]])
-            owner = np.repeat(np.arange(len(batch)), lengths)
-            where = np.concatenate([np.empty(0, np.int64), *batch["contexts"]]).astype(np.int64)
-            c = np.concatenate([np.empty(0, np.int64), *batch["counts"]]).astype(np.int64)
-            direct = batch["n"].to_numpy() - np.bincount(owner, weights=c, minlength=len(batch)).astype(np.int64)
-            rng = np.random.default_rng([seed, zlib.crc32(bytes(batch["word"].iloc[0])), len(batch)])
-            t = np.ones(len(c), np.int64)
-            size = direct + np.bincount(owner, weights=t, minlength=len(batch)).astype(np.int64)
-            own = np.minimum(size, 1)
-            sums = np.zeros(len(c)), np.zeros(len(batch)), np.zeros(len(batch))
-            for sweep in range(sweeps):
-                parent = totals.root(size, own)
-                others = np.maximum(totals.tables[where] - t, 0)
-                t = context.draw(rng, c, others, parent[owner])
-                size = direct + np.bincount(owner, weights=t, minlength=len(batch)).astype(np.int64)
-                base = np.full(len(batch), 1 / (totals.words + 1))
-                own = root.draw(rng, size, np.maximum(totals.root_tables - own, 0), base)
-                if sweep >= sweeps - samples:
-                    for total, drawn in zip(sums, (t, size, own), strict=True):
-                        total += drawn / samples
-            yield batch.assign(
-                tables=np.split(sums[0], np.cumsum(lengths)[:-1]), root_customers=sums[1], root_tables=sums[2]
-            )
 
-    return rows.mapInPandas(run, SEATED)
+def _contexts(pairs: DataFrame) -> DataFrame:
+    """Customers and tables of every context."""
+    sums = F.sum("n").cast("double").alias("customers"), F.sum("tables").alias("tables")
+    return pairs.where(F.col("context") != ROOT).groupBy("context").agg(*sums)
+
 
+def _roots(seated: DataFrame) -> DataFrame:
+    """(``id``, ``root_customers``, ``root_tables``) of every seated word."""
+    groups = seated.where("context is null").groupBy(F.col("word").alias("id"))
+    return groups.agg(F.sum("tables").alias("root_customers"), F.avg("root_tables").alias("root_tables"))
 
-def _totals(seated: DataFrame, contexts: int, words: int) -> Totals:
-    """Sums per context and of the root: as many numbers as there are contexts."""
-    each = seated.select(F.explode(F.arrays_zip("contexts", "counts", "tables")).alias("s"))
-    customers, tables = np.zeros(contexts), np.zeros(contexts)
-    for r in each.groupBy("s.contexts").agg(F.sum("s.counts").alias("c"), F.sum("s.tables").alias("t")).collect():
-        customers[r["contexts"]], tables[r["contexts"]] = r["c"], r["t"]
-    root = seated.agg(F.sum("root_customers"), F.sum("root_tables")).first()
-    return Totals(customers, tables, root[0] or 0.0, root[1] or 0.0, words)
+
+def _totals(seated: DataFrame, words: int) -> Totals:
+    root = _roots(seated).agg(F.sum("root_customers"), F.sum("root_tables")).first()
+    contexts = staged(_contexts(seated.where("context is not null")), "contexts")
+    return Totals(contexts, root[0] or 0.0, root[1] or 0.0, words)
 
 
 @dataclass(frozen=True)
 class Model:
-    """Seated words, the restaurants' totals, the contexts, and the number of training tokens."""
+    """The training words with their ids, the seated pairs, the restaurants' totals, the number of training
+    tokens, and the blocks it was learnt from with their ``numbered`` words and pairs."""
 
-    seated: DataFrame
+    words: DataFrame
+    pairs: DataFrame
     totals: Totals
-    contexts: dict[bytes, int]
     tokens: int
-
-
-def fit(docs: DataFrame, counted: DataFrame, id_col: str = "doc_id", text_col: str = "text", context_share: float = CONTEXT_SHARE, seed: int = 7) -> Model:
-    """``counted``: the rows of ``blocks``."""
-    words = staged(
-        counted.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")).where("n > 0"), "words"
-    )
+    blocks: DataFrame
+    numbered: tuple[DataFrame, DataFrame]
+
+    @property
+    def seated(self) -> DataFrame:
+        """One row per word, for a look at small models: a frequent word's row is long."""
+        own = self.pairs.where(F.col("context") != ROOT).groupBy(F.col("word").alias("id"))
+        after = own.agg(F.sort_array(F.collect_list(F.struct("context", "n", "tables"))).alias("s"))
+        columns = [F.coalesce(f"s.{c}", F.array().cast(f"array<{t}>")).alias(name) for c, t, name in (("context", "long", "contexts"), ("n", "long", "counts"), ("tables", "double", "tables"))]
+        joined = self.words.join(_roots(self.pairs), "id").join(after, "id", "left")
+        return joined.select("word", "n", *columns, "root_customers", "root_tables")
+
+    @property
+    def contexts(self) -> dict[bytes, int]:
+        """The words that are contexts, for a look at small models."""
+        rows = self.words.join(self.totals.contexts, F.col("id") == F.col("context")).select("word", "id")
+        return {bytes(r["word"]): r["id"] for r in rows.collect()}
+
+
+def fit(docs: DataFrame, counted: DataFrame, context_share: float = CONTEXT_SHARE, seed: int = 7) -> Model:
+    """``counted``: the rows of ``blocks``, which hold all that is learnt of ``docs``."""
+    sums = counted.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")).where("n > 0")
+    words = staged(sums.withColumn("id", F.monotonically_increasing_id()), "words")
     size = words.agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
-    frequent = words.where(F.col("n") >= context_share * size["n"]).where(F.length("word") > 0)
-    contexts = {bytes(r["word"]): i for i, r in enumerate(frequent.orderBy("word").collect(), START + 1)}
-    after = followers(docs, contexts, id_col, text_col).groupBy("word").agg(
-        F.sort_array(F.collect_list(F.struct("context", "n"))).alias("after")
-    )
-    rows = staged(
-        words.join(after, "word", "left").select(
-            "word",
-            "n",
-            F.coalesce(F.col("after.context"), F.array().cast("array<int>")).alias("contexts"),
-            F.coalesce(F.col("after.n"), F.array().cast("array<long>")).alias("counts"),
-        ),
-        "followers",
-    )
-    first = rows.select(
-        "word",
-        "n",
-        "contexts",
-        "counts",
-        F.transform("counts", lambda _: F.lit(1.0)).alias("tables"),
-        (F.col("n") - F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b) + F.size("counts")).cast("double").alias("root_customers"),
-        F.lit(1.0).alias("root_tables"),
-    )
-    totals = _totals(first, len(contexts) + 1, size["v"])
-    totals = _totals(staged(seat(rows, totals, BURN_IN, 1, seed), "seated"), len(contexts) + 1, size["v"])
-    seated = staged(seat(rows, totals, BURN_IN + SAMPLES, SAMPLES, seed + 1), "seated")
-    return Model(seated, _totals(seated, len(contexts) + 1, size["v"]), contexts, size["n"])
-
-
-# What scoring needs of a word: its training count, its probability at the root, its number as a
-# context or -1; then per context it was seen in what its own tables there give it.
-HEAD = np.dtype([("n", "<i8"), ("root", "<f8"), ("context", "<i4")])
-PAIR = np.dtype([("context", "<u4"), ("own", "<f8")])
-
-
-def packed(model: Model) -> DataFrame:
-    """(``word``, ``word_model``): the seated words as bytes, short enough to send to every block."""
-    totals, contexts = model.totals, model.contexts
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            head = np.empty(len(batch), HEAD)
-            head["n"] = batch["n"]
-            head["root"] = totals.root(batch["root_customers"].to_numpy(), batch["root_tables"].to_numpy())
-            head["context"] = [contexts.get(bytes(w), -1) for w in batch["word"]]
-            lengths = np.array([len(x) for x in batch["contexts"]], np.int64)
-            where, c, t = (np.concatenate([np.empty(0), *batch[x]]) for x in ("contexts", "counts", "tables"))
-            pairs = np.empty(len(where), PAIR)
-            pairs["context"] = where
-            pairs["own"] = (c - DISCOUNT * t) / (STRENGTH + totals.customers[pairs["context"].astype(np.int64)])
-            heads, tails = head.tobytes(), pairs.tobytes()
-            ends = np.cumsum(lengths) * PAIR.itemsize
-            starts = ends - lengths * PAIR.itemsize
-            yield pd.DataFrame(
-                {
-                    "word": batch["word"],
-                    "word_model": [
-                        heads[i * HEAD.itemsize : (i + 1) * HEAD.itemsize] + tails[a:b]
-                        for i, (a, b) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True))
-                    ],
-                }
-            )
-
-    return model.seated.mapInPandas(run, "word binary, word_model binary")
+    known, found = numbered(counted, words)
+    learnt = found.where("n > 0").select("context", "word", "n")
+    if context_share > 0:
+        frequent = words.where(F.col("n") >= context_share * size["n"]).select(F.col("id").alias("frequent"))
+        context = F.when((F.col("context") == START) | F.col("frequent").isNotNull(), F.col("context")).otherwise(F.lit(ROOT))
+        learnt = learnt.join(frequent, F.col("context") == F.col("frequent"), "left").select(context.cast("long").alias("context"), "word", "n")
+    tables = F.when(F.col("context") == ROOT, F.col("n").cast("double")).otherwise(F.lit(1.0))
+    pairs = staged(learnt.groupBy("context", "word").agg(F.sum("n").alias("n")).withColumn("tables", tables), "counted")
+    customers = pairs.agg(F.sum("tables")).first()[0]
+    totals = Totals(staged(_contexts(pairs), "contexts"), customers or 0.0, float(size["v"]), size["v"])
+    first = staged(seat(pairs, totals, BURN_IN, 1, seed), "seated")
+    pairs = first.where("context is not null").select("context", "word", "n", "tables")
+    seated = staged(seat(pairs, _totals(first, size["v"]), BURN_IN + SAMPLES, SAMPLES, seed + 1), "seated")
+    return Model(words, seated, _totals(seated, size["v"]), size["n"], counted, (known, found))
 
 
 SCORES = (
@@ -355,40 +401,42 @@ SCORES = (
 def score(model: Model, counted: DataFrame) -> DataFrame:
     """Per document its token counts, its base score and its log10 probability under the model."""
     totals, tokens = model.totals, model.tokens
-    backoff = totals.backoff()
+    root, size_v = (totals.root_customers, totals.root_tables, totals.words), totals.words
     unseen = float(totals.root(0.0, 0.0))
-    words = counted.where("word is not null").select("block", "number", "word")
-    known = words.join(packed(model), "word", "left").select("block", "number", "word_model")
-    texts = counted.where("word is null").select(F.col("block").alias("home"), "ids", "held", "lengths", "tokens")
+    start = totals.contexts.where(F.col("context") == START).select(F.expr(BACKOFF)).first()
+    start = start[0] if start else 1.0
+    known, found = model.numbered if counted is model.blocks else numbered(counted, model.words)
+    # What scoring needs of a word: its training count, its probability at the root, and as a context
+    # the weight of the root; of a pair what its own tables give it.
+    p_root = (F.col("root_customers") - ROOT_DISCOUNT * F.col("root_tables") + (ROOT_STRENGTH + ROOT_DISCOUNT * root[1]) / (size_v + 1)) / (ROOT_STRENGTH + root[0])
+    backoff = totals.contexts.select(F.col("context").alias("id"), F.expr(BACKOFF).alias("backoff"))
+    words = model.words.join(_roots(model.pairs), "id").join(backoff, "id", "left")
+    words = words.select("id", "n", p_root.alias("p"), F.coalesce("backoff", F.lit(1.0)).alias("backoff"))
+    own = model.pairs.where(F.col("context") != ROOT).select("context", "word", "share")
+    rows = known.join(words, "id").select("block", F.col("number").cast("long").alias("at"), "n", "p", "backoff").unionByName(
+        found.join(own, ["context", "word"]).select("block", F.col("code").alias("at"), F.lit(-1).cast("long").alias("n"), F.col("share").alias("p"), F.lit(0.0).alias("backoff"))
+    )
+    texts = counted.where("word is null").select(F.col("block").alias("home"), F.col("n").alias("size"), "ids", "held", "lengths", "tokens")
 
-    def run(texts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+    def run(texts: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
-        size = len(known)
-        known = known[known["word_model"].notna()]
-        at = known["number"].to_numpy().astype(np.int64)
-        head = np.frombuffer(b"".join([m[: HEAD.itemsize] for m in known["word_model"]]), HEAD)
-        pairs = np.frombuffer(b"".join([m[HEAD.itemsize :] for m in known["word_model"]]), PAIR)
-        lengths = np.array([(len(m) - HEAD.itemsize) // PAIR.itemsize for m in known["word_model"]], np.int64)
-        count, root, context = np.zeros(size, np.int64), np.full(size, unseen), np.full(size, -1)
-        count[at], root[at], context[at] = head["n"], head["root"], head["context"]
-        word, where = np.repeat(at, lengths), pairs["context"].astype(np.int64)
-        key = where * size + word
-        p = pairs["own"] + backoff[where] * root[word]
-        order = np.argsort(key)
-        key, p = key[order], p[order]
-        base = np.log10((count + 1) / (tokens + totals.words + 1))
+        own, rows = rows[rows["n"] < 0], rows[rows["n"] >= 0]
+        order = np.argsort(own["at"].to_numpy())
+        key, share = own["at"].to_numpy()[order], own["p"].to_numpy()[order]
+        at = rows["at"].to_numpy()
         for row in texts.itertuples():
+            size = int(row.size)
+            count, p, weight = np.zeros(size, np.int64), np.full(size, unseen), np.ones(size + 1)
+            count[at], p[at], weight[at], weight[size] = rows["n"], rows["p"], rows["backoff"], start
+            base = np.log10((count + 1) / (tokens + size_v + 1))
             stream = np.frombuffer(zlib.decompress(row.tokens), np.int32)
-            ends = np.cumsum(row.lengths)
-            starts = ends - np.asarray(row.lengths)
-            before = np.empty(len(stream), np.int64)
-            before[1:] = context[stream[:-1]]
-            before[starts] = START
-            chance = np.where(before < 0, root[stream], backoff[before] * root[stream])
+            lengths = np.asarray(row.lengths)
+            starts = np.cumsum(lengths) - lengths
+            asked = codes(stream, lengths, size)
+            chance = weight[asked // size] * p[stream]
             if len(key):
-                asked = before * size + stream
                 place = np.minimum(np.searchsorted(key, asked), len(key) - 1)
-                chance = np.where(key[place] == asked, p[place], chance)
+                chance += np.where(key[place] == asked, share[place], 0.0)
             out.append(
                 pd.DataFrame(
                     {
@@ -404,4 +452,4 @@ def score(model: Model, counted: DataFrame) -> DataFrame:
             )
         return pd.concat(out)
 
-    return texts.groupBy("home").cogroup(known.groupBy("block")).applyInPandas(run, SCORES)
+    return texts.groupBy("home").cogroup(rows.groupBy("block")).applyInPandas(run, SCORES)

@@ -4,11 +4,12 @@ Lines are parsed to a fixed depth: by their number of tokens, then by their firs
 tokens that hold a digit as ``<*>``. The lines under one leaf give its template: at each place the token
 that at least ``agree`` of them share, else ``<*>``. A line belongs to the leaf's template if it equals
 it in at least ``similar`` of its places; any other line is a template of its own, with its digits
-generalised. Templates found in ``min_documents`` different texts recur and their lines are dropped.
+generalised. Templates found in ``min_documents`` different texts recur and their lines are dropped; from
+``LONG_TOKENS`` tokens on ``LONG_DOCUMENTS`` different texts are enough. A token is shared if two lines have it.
 
 All counts are over distinct texts, so exact copies of a document do not make its lines recur. Leaves
 and templates are counted from hashes of fixed size with partial aggregation; tokens are looked at only
-for leaves that reach ``min_documents``, and their votes are counted per (leaf, place, token), never
+for leaves that reach as many texts, and their votes are counted per (leaf, place, token), never
 gathered per leaf. Leaves, templates and texts are told apart by 64-bit hashes, lines by their place.
 
 Defined results
@@ -37,6 +38,7 @@ from tradeloom.llm.common import staged
 
 WILD = "<*>"
 DEPTH, MIN_TOKENS, MIN_DOCUMENTS = 3, 3, 5
+LONG_TOKENS, LONG_DOCUMENTS = 50, 2
 AGREE, SIMILAR = 0.5, 0.6
 
 _VARIABLE = re.compile(r"\S*\d\S*")
@@ -61,7 +63,7 @@ def template(parts: list[str]) -> int:
 
 
 def _parse(docs: DataFrame, depth: int, min_tokens: int, id_col: str, text_col: str) -> DataFrame:
-    """(``id``, ``text_key``, ``line``, ``leaf``, ``own``) of every line with enough tokens."""
+    """(``id``, ``text_key``, ``line``, ``leaf``, ``own``, ``is_long``) of every line with enough tokens."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -70,15 +72,16 @@ def _parse(docs: DataFrame, depth: int, min_tokens: int, id_col: str, text_col:
                 for line, words in enumerate((text or "").split("\n")):
                     parts = tokens(words)
                     if len(parts) >= min_tokens:
-                        out.append((row, line, leaf(parts, depth), template(parts)))
-            found = pd.DataFrame(out, columns=["row", "line", "leaf", "own"]).astype("int64")
+                        out.append((row, line, leaf(parts, depth), template(parts), len(parts) >= LONG_TOKENS))
+            found = pd.DataFrame(out, columns=["row", "line", "leaf", "own", "is_long"]).astype("int64")
+            found["is_long"] = found["is_long"].astype(bool)
             row = found.pop("row").to_numpy()
             found.insert(0, "id", batch["id"].astype("Int64").to_numpy()[row])
             found.insert(1, "text_key", batch["text_key"].to_numpy()[row])
             yield found
 
     rows = _keyed(docs, id_col, text_col)
-    return rows.mapInPandas(run, "id long, text_key long, line int, leaf long, own long")
+    return rows.mapInPandas(run, "id long, text_key long, line int, leaf long, own long, is_long boolean")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -90,8 +93,11 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _texts_with(texts: int, key: str, rows: DataFrame) -> DataFrame:
-    """Keys found in at least so many different texts."""
-    return rows.select(key, "text_key").distinct().groupBy(key).agg(F.count("*").alias("texts")).where(F.col("texts") >= texts)
+    """Keys found in at least so many different texts, or in fewer if they are long. Lines of one key are
+    of one length."""
+    found = rows.select(key, "is_long", "text_key").distinct().groupBy(key, "is_long").agg(F.count("*").alias("texts"))
+    least = F.when(F.col("is_long"), min(texts, LONG_DOCUMENTS)).otherwise(texts)
+    return found.where(F.col("texts") >= least).drop("is_long")
 
 
 def _line_tokens(docs: DataFrame, lines: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -124,7 +130,7 @@ def templates(lines: DataFrame, agree: float = AGREE, similar: float = SIMILAR)
         votes.groupBy("leaf", "place")
         .agg(F.max_by("token", F.struct("votes", F.hash("token"))).alias("token"), F.max("votes").alias("votes"))
         .join(total, "leaf")
-        .where((F.col("votes") >= agree * F.col("total")) & (F.col("token") != WILD))
+        .where((F.col("votes") >= F.greatest(agree * F.col("total"), F.lit(2))) & (F.col("token") != WILD))
         .select("leaf", "place", "token")
     )
     equal = placed.join(led, ["leaf", "place", "token"]).groupBy("leaf", "own").agg(F.count("*").alias("equal"))
@@ -150,10 +156,10 @@ def find(
     busy = staged(lines.join(leaves, "leaf", "left_semi"), "busy")
     fitting = templates(_line_tokens(docs, busy, id_col, text_col))
     named = busy.join(fitting, ["leaf", "own"], "left").select(
-        "id", "text_key", "line", F.when(F.col("general"), F.col("leaf")).otherwise(F.col("own")).alias("template")
+        "id", "text_key", "line", "is_long", F.when(F.col("general"), F.col("leaf")).otherwise(F.col("own")).alias("template")
     )
     named = staged(named, "named")
-    return named.join(_texts_with(min_documents, "template", named), "template")
+    return named.drop("is_long").join(_texts_with(min_documents, "template", named), "template")
 
 
 def dedup(

@@ -96,7 +96,7 @@ def op8_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_template_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the lines of templates that recur in at least five texts."""
+    """Every document without the lines of templates that recur in at least five texts, long ones in two."""
     return line_dedup.dedup(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 

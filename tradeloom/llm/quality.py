@@ -1,20 +1,24 @@
 """Quality rules with risk-controlled cutoffs.
 
 Each rule rejects a document whose statistic is above the cutoff of its stratum. Labelled documents are
-split by a hash of their id: the design half gives the grid of cutoffs, quantiles of the statistic over
-its good documents; the holdout half certifies. Per stratum and rule the grid is walked from the most lenient cutoff on. A cutoff
-is certified if an exact binomial test rejects, on the holdout's good documents, that it turns down more
-than ``risk / rules`` of them; the walk ends at the first that is not (a fixed sequence needs no
-correction for its own steps), and the level is ``delta / (rules x strata)`` (Bonferroni over the rest).
-So with probability 1 - delta no stratum loses more than ``risk`` of its good documents to all rules
-together. Of the certified cutoffs the one that turns down most bad documents is used, and of equal ones
-the most lenient; a rule that catches nothing there is off.
-
-Statistics are computed once per document and staged; all labelled rows count, as sums per cutoff.
+split by a hash of their id: the design half gives the grid of cutoffs, quantiles of each statistic over
+its good documents; the holdout half certifies. A step of the grid is a vector, the same quantile of every
+rule, so the steps are nested: what one turns down, all stricter ones do. Per stratum the steps are walked
+from the most lenient on. One is certified if an exact binomial test rejects, on the holdout's good
+documents, that its rules together turn down more than ``risk`` of them; the walk ends at the first that is
+not (a fixed sequence needs no correction for its own steps), and the level is ``delta / strata``
+(Bonferroni over the strata with enough good documents for the test to reject at all). So with probability
+1 - delta no stratum loses more than ``risk`` of its good documents. Of the certified steps the one that
+turns down most bad documents is used, and of equal ones the most lenient; a rule that catches nothing
+there is off, and so are all rules of a stratum that cannot be certified.
+
+Statistics are computed once per document and staged; all labelled rows count, as sums per step. Counts and
+cutoffs are tables with a row per stratum; the number of strata has no bound.
 
 Defined results
     null or empty text   no words: every statistic is 0
-    null or rare stratum the pooled stratum ``*``, certified on all labels
+    null stratum         the stratum ``*``
+    rare stratum         too few good labels to certify: every rule is off
     null id or label     cannot be labelled
     no labels            every rule is off
     repeated rows        are judged alike, each its own
@@ -28,6 +32,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -39,8 +44,7 @@ from tradeloom.llm.common import staged
 RISK, DELTA = 0.02, 0.05
 # Shares of the good documents that the cutoffs of the grid keep.
 GRID = [0.5, 0.75, 0.9, 0.95, 0.98, 0.99, 0.995, 0.996, 0.997, 0.998, 0.999, 0.9995, 0.9999, 1.0]
-MAX_STRATA, MIN_LABELS = 256, 200
-POOLED = "*"
+UNKNOWN = "*"
 
 # The base counts.
 SYMBOLS = re.compile(r"[#*$%&|<>]").findall
@@ -100,7 +104,7 @@ def statistics(docs: DataFrame, id_col: str, text_col: str, stratum_col: str) ->
 
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
-        F.coalesce(F.col(stratum_col).cast("string"), F.lit(POOLED)).alias("stratum"),
+        F.coalesce(F.col(stratum_col).cast("string"), F.lit(UNKNOWN)).alias("stratum"),
         F.col(text_col).alias("text"),
     )
     return rows.mapInPandas(run, f"id long, stratum string, {STATISTICS}")
@@ -129,53 +133,58 @@ def choose(cutoffs: list[float], good: list[int], bad: list[int], n_good: int, r
     return best
 
 
-def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", risk: float = RISK, delta: float = DELTA) -> dict[str, dict[str, float]]:
+@dataclass(frozen=True)
+class Cutoffs:
+    """One row per stratum with labels: ``own``, its name, and ``max_`` of each rule, null if it is off."""
+
+    table: DataFrame
+
+    def __getitem__(self, stratum: str) -> dict[str, float]:
+        row = self.table.where(F.col("own") == stratum).first()
+        return {r: row[f"max_{r}"] for r in RULES if row and row[f"max_{r}"] is not None}
+
+
+def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", risk: float = RISK, delta: float = DELTA) -> Cutoffs:
     """Cutoffs per stratum and rule from ``labels`` (``id_col``, ``quality`` 1 good, 0 bad)."""
     marked = labels.where("quality is not null").select(F.col(id_col).alias("id"), F.col("quality").cast("int").alias("quality"))
-    rows = staged(stats.join(marked, "id"), "labelled")
-    sized = rows.groupBy("stratum").count().where(F.col("count") >= MIN_LABELS).where(F.col("stratum") != POOLED)
-    strata = [r[0] for r in sized.orderBy(F.desc("count"), "stratum").limit(MAX_STRATA).collect()]
-    level = delta / (len(RULES) * (len(strata) + 1))
-    own = F.when(F.col("stratum").isin(strata), F.array("stratum", F.lit(POOLED))).otherwise(F.array(F.lit(POOLED)))
-    values = rows.select(
-        F.explode(own).alias("stratum"),
-        "quality",
-        (F.pmod(F.xxhash64("id"), F.lit(2)) == 0).alias("design"),
-        F.expr("stack({}, {}) as (rule, value)".format(len(RULES), ", ".join(f"'{r}', {r}" for r in RULES))),
-    )
-    grid = F.array_distinct(F.percentile_approx("value", GRID, 10_000))
-    good = values.where("design and quality = 1")
-    grids = good.groupBy("stratum", "rule").agg(F.sort_array(grid).alias("cutoffs"))
-    # One row per stratum and rule: at most 257 x 6.
-    above = F.size(F.filter("cutoffs", lambda c: F.col("value") > c))
-    counted = (
-        values.where("not design")
-        .join(F.broadcast(grids), ["stratum", "rule"])
-        .groupBy("stratum", "rule", "cutoffs", "quality", above.alias("above"))
-        .count()
-        .collect()
+    half = (F.pmod(F.xxhash64("id"), F.lit(2)) == 0).alias("design")
+    rows = staged(stats.join(marked, "id").select("stratum", "quality", half, *RULES), "labelled")
+    good = rows.where("design and quality = 1")
+    grid = [F.percentile_approx(r, GRID, 10_000).alias(f"grid_{r}") for r in RULES]
+    grids = staged(good.groupBy("stratum").agg(*grid), "grids")
+    # Per document and rule the number of steps that turn it down; any rule's most are those of all together.
+    steps = {r: F.expr(f"size(filter(grid_{r}, c -> {r} > c))") for r in RULES}
+    judged = rows.where("not design").join(grids, "stratum").select("stratum", "quality", *[n.alias(r) for r, n in steps.items()])
+    judged = judged.withColumn("any", F.greatest(*RULES))
+    names = ["any", *RULES]
+    counted = staged(
+        judged.select("stratum", (F.col("quality") == 1).alias("good"), F.expr("stack({}, {}) as (rule, above)".format(len(names), ", ".join(f"'{r}', `{r}`" for r in names))))
+        .groupBy("stratum", "rule", "good", "above")
+        .agg(F.count("*").alias("n")),
+        "steps",
     )
-    found: dict[tuple[str, str], dict] = {}
-    for r in counted:
-        cell = found.setdefault((r["stratum"], r["rule"]), {"cutoffs": list(r["cutoffs"]), 0: {}, 1: {}})
-        cell[1 if r["quality"] == 1 else 0][r["above"]] = r["count"]
-    chosen: dict[str, dict[str, float]] = {s: {} for s in [*strata, POOLED]}
-    for (stratum, rule), cell in found.items():
-        cutoffs = cell["cutoffs"]
-        good, bad = ([sum(n for a, n in cell[q].items() if a > i) for i in range(len(cutoffs))] for q in (1, 0))
-        cut = choose(cutoffs, good, bad, sum(cell[1].values()), risk / len(RULES), level)
-        if cut is not None:
-            chosen[stratum][rule] = cut
-    return chosen
-
-
-def judge(stats: DataFrame, cutoffs: dict[str, dict[str, float]]) -> DataFrame:
+    clean = counted.where("rule = 'any' and good").groupBy("stratum").agg(F.sum("n").alias("n"))
+    strata = clean.where(F.pow(F.lit(1 - risk), F.col("n")) <= delta).count()
+    level = delta / max(1, strata)
+
+    def certify(cells: pd.DataFrame) -> pd.DataFrame:
+        def down(rule: str, good: bool) -> list[int]:
+            own = cells[(cells["rule"] == rule) & (cells["good"] == good)]
+            return [int(own.loc[own["above"] > i, "n"].sum()) for i in range(-1, len(GRID))]
+
+        good, bad = down("any", True), down("any", False)
+        step = choose(list(range(len(GRID))), good[1:], bad[1:], good[0], risk, level)
+        used = [] if step is None else [r for r in RULES if down(r, False)[step + 1]]
+        return pd.DataFrame({"stratum": [cells["stratum"].iloc[0]], "step": [-1 if step is None else step], "used": [used]})
+
+    chosen = counted.groupBy("stratum").applyInPandas(certify, "stratum string, step int, used array<string>")
+    limits = [F.when(F.array_contains("used", r), F.get(f"grid_{r}", F.col("step"))).alias(f"max_{r}") for r in RULES]
+    return Cutoffs(staged(chosen.join(grids, "stratum").select(F.col("stratum").alias("own"), *limits), "cutoffs"))
+
+
+def judge(stats: DataFrame, cutoffs: Cutoffs) -> DataFrame:
     """``stats`` with ``failed``: the rules whose cutoff the document exceeds."""
-    spark = stats.sparkSession
-    rows = [(s, *(cut.get(r) for r in RULES)) for s, cut in cutoffs.items()]
-    limits = spark.createDataFrame(rows, ", ".join(["own string", *(f"max_{r} double" for r in RULES)]))
-    known = F.when(F.col("stratum").isin([s for s in cutoffs if s != POOLED]), F.col("stratum")).otherwise(F.lit(POOLED))
-    joined = stats.join(F.broadcast(limits), known == F.col("own"), "left")
+    joined = stats.join(cutoffs.table, F.col("stratum") == F.col("own"), "left")
     failed = F.array_compact(F.array(*[F.when(F.col(r) > F.col(f"max_{r}"), F.lit(r)) for r in RULES]))
     return joined.withColumn("failed", failed).drop("own", *(f"max_{r}" for r in RULES))
 

@@ -10,7 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tradeloom.llm import exact_dedup, line_dedup, lm, mixing, near_dedup, packing, quality, secret_scan, toxicity, url_filter
+from tradeloom.llm import (
+    exact_dedup,
+    inner_products,
+    line_dedup,
+    lm,
+    mixing,
+    near_dedup,
+    packing,
+    prefix_trie,
+    quality,
+    secret_scan,
+    token_alignment,
+    toxicity,
+    url_filter,
+)
 from tradeloom.llm.common import table
 from tradeloom.llm.sql import SQL as _SQL
 
@@ -117,6 +131,25 @@ def op10_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_norm_sorted_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    return inner_products.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of conversations that start with up to eight turns of every fifth one."""
+    ordered = prefix_trie.turns_in_order(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv_id")
+    paths, convs = prefix_trie.branched(ordered, F.crc32(conv.cast("string")) % 9, conv - conv % 5, most=8)
+    return prefix_trie.nodes(paths, convs)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens in a byte-level and a sentence-piece vocabulary, aligned."""
+    a, b = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.align(table(spark, sf_dir, "documents"), a, b).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -130,6 +163,9 @@ QUERIES: dict[str, Query] = {
         op8_minmax_near_dedup,
         op9_template_line_dedup,
         op10_sum_of_squares_packing,
+        op11_norm_sorted_top_k,
+        op12_prefix_trie,
+        op13_token_alignment,
     )
 } | {"pipeline": corpus_pipeline.run}
 

@@ -95,5 +95,68 @@ WITH RECURSIVE words AS (
 )
 SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN parts ON parts.doc_id = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id
+""",
+    "op11_norm_sorted_top_k": """
+WITH v AS (
+    SELECT row_number() OVER () AS r, vec_id,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS parts
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.r, q.vec_id AS query_id, c.vec_id, list_dot_product(q.parts, c.parts)::BIGINT AS score
+    FROM v q JOIN v c ON c.vec_id IS DISTINCT FROM q.vec_id AND len(c.parts) = len(q.parts)
+    WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    "op12_prefix_trie": """
+WITH turns AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT c, count(*) AS own, c - c % 5 AS base,
+           list_reduce(list_prepend(4294967295::BIGINT, list_transform(split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+               lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                   lambda x, y: xor(x >> 1, (x & 1) * 3988292384::BIGINT))) AS inverse
+    FROM turns GROUP BY c
+), cut AS (
+    SELECT x.c, x.base, xor(x.inverse, 4294967295::BIGINT) % 9 AS h, x.own, coalesce(y.own, 0) AS there
+    FROM convs x LEFT JOIN convs y ON y.c = x.base
+), rebuilt AS (
+    SELECT cut.c, place AS d, role, text FROM cut JOIN turns ON turns.c = cut.base WHERE place <= h
+    UNION ALL
+    SELECT cut.c, place - h + least(h, there), role, text FROM cut JOIN turns ON turns.c = cut.c WHERE place > h
+), sized AS (
+    SELECT c, d, strlen(text) AS size, list(sha256(strlen(role)::VARCHAR || ':' || role || text)) OVER (
+        PARTITION BY c ORDER BY d) AS steps
+    FROM rebuilt
+), paths AS (
+    SELECT c, d, size, sha256(array_to_string(steps, ',')) AS node FROM sized
+    UNION ALL SELECT c, 0, 0, '' FROM cut
+), nodes AS (
+    SELECT node, any_value(d) AS d, any_value(size) AS size, count(*) AS n, min(c) AS c FROM paths GROUP BY node
+), above AS (
+    SELECT DISTINCT p.node, q.node AS parent FROM paths p JOIN paths q ON q.c = p.c AND q.d = p.d - 1
+), children AS (
+    SELECT parent AS node, count(*) AS n FROM above GROUP BY parent
+), below AS (
+    SELECT DISTINCT p.node AS top, q.node FROM paths p JOIN paths q ON q.c = p.c AND q.d >= p.d
+), sums AS (
+    SELECT top AS node, sum((nodes.n - 1) * size)::BIGINT AS saved, count(*) FILTER (children.n IS NULL) AS leaves
+    FROM below JOIN nodes ON nodes.node = below.node LEFT JOIN children ON children.node = below.node GROUP BY top
+), lasts AS (
+    SELECT c, max(d) AS d FROM paths GROUP BY c
+), ends AS (
+    SELECT node, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM paths JOIN lasts USING (c, d) GROUP BY node
+)
+SELECT nodes.c AS conv_id, nodes.d AS depth, up.c AS parent_conv_id, nodes.n AS n_convs,
+       coalesce(children.n, 0) AS n_children, sums.leaves AS n_leaves, sums.saved AS saved_tokens,
+       sha256(coalesce(ends.ids, '')) AS ends_sha256
+FROM nodes JOIN sums ON sums.node = nodes.node LEFT JOIN children ON children.node = nodes.node
+LEFT JOIN above ON above.node = nodes.node LEFT JOIN nodes up ON up.node = above.parent
+LEFT JOIN ends ON ends.node = nodes.node
 """,
 }

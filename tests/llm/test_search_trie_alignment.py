@@ -295,9 +295,9 @@ ALIGNER, PLAIN = token_alignment.Aligner(*PATHS, remembered=50), Plain()
 @settings(max_examples=200, deadline=None)
 def test_galloping_ranges(a, b):
     ends = [sorted(x | {61}) for x in (a, b)]
-    short, long = sorted(ends, key=len)
-    ranges, common = token_alignment.overlaps(short, long)
-    assert [short[i - 1] for i, _ in common] == sorted(set(short) & set(long)) == [long[j - 1] for _, j in common]
-    for i, (low, high) in enumerate(ranges):
-        start, end = short[i - 1] if i else 0, short[i]
-        assert [j for j in range(len(long)) if (long[j - 1] if j else 0) < end and long[j] > start] == list(range(low, high))
+    short, long = (np.array(x) for x in sorted(ends, key=len))
+    low, high, both = token_alignment.overlaps(short, long, np.zeros(len(short), np.int64))
+    assert short[both].tolist() == sorted(set(short.tolist()) & set(long.tolist())) == long[high[both]].tolist()
+    for i, end in enumerate(short):
+        start = short[i - 1] if i else 0
+        assert [j for j in range(len(long)) if (long[j - 1] if j else 0) < end and long[j] > start] == list(range(low[i], high[i] + 1))

@@ -75,8 +75,60 @@ def test_alerts_equal_batch(spark, log, log_path, tmp_path):
     stream = file_event_source(spark, log_path, max_files=1)
     jobs.stream_risk_alerts(stream, path, str(tmp_path / "cp")).awaitTermination()
     first = unique(log, jobs.ALERT_FAMILIES, currency=False)
-    got = jobs.read_alerts(spark, path, first.schema)
+    got = jobs.read_alerts(spark, path)
     assert frame_rows(got) == frame_rows(ev.high_risk_alerts(first))
+    # What stands is what the sink itself holds.
+    assert spark.read.parquet(path).agg(F.sum("change")).first()[0] == got.count()
+
+
+@pytest.fixture(scope="module")
+def late_log(spark, log, tmp_path_factory):
+    """The log in nine files that are read newest first, so earlier arrivals come in later batches."""
+    path = str(tmp_path_factory.mktemp("late"))
+    parts = log.repartitionByRange(9, F.col("timestamp").desc()).sortWithinPartitions("timestamp")
+    for part in range(9):
+        parts.where(F.spark_partition_id() == part).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def test_earlier_arrivals_take_back_what_was_given(spark, log, late_log, tmp_path):
+    """Each transaction's first arrival comes last; dedupe, KPIs and alerts end as in the batch."""
+    alerts, seen, kpis = (str(tmp_path / n) for n in ("alerts", "unique", "kpis"))
+
+    def stream():
+        return file_event_source(spark, late_log, max_files=1)
+
+    jobs.stream_risk_alerts(stream(), alerts, str(tmp_path / "cp1")).awaitTermination()
+    jobs.stream_dedupe(stream(), seen, str(tmp_path / "cp2")).awaitTermination()
+    query = jobs.stream_currency_kpis(stream(), kpis, str(tmp_path / "cp3"))
+    query.awaitTermination()
+    assert spark.read.parquet(alerts).where("change < 0").count() > 0
+    first = unique(log, jobs.ALERT_FAMILIES, currency=False)
+    assert frame_rows(jobs.read_alerts(spark, alerts)) == frame_rows(ev.high_risk_alerts(first))
+    want = unique(log)
+    got = jobs.read_first_arrivals(spark, seen, want.schema)
+    assert frame_rows(got.select(want.columns)) == frame_rows(want)
+    totals = ev.currency_kpis(want)
+    assert frame_rows(sinks.read_latest(spark, f"{kpis}/kpis", totals.schema)) == frame_rows(totals)
+    # The state store has a row per transaction, however many events and batches there are.
+    progress = [p["stateOperators"][0] for p in query.recentProgress if p["numInputRows"] > 0]
+    assert len(progress) == 9 and progress[-1]["numRowsTotal"] == want.count()
+    assert all(p["numRowsUpdated"] <= want.count() for p in progress)
+
+
+def test_a_kpi_batch_run_again_adds_nothing(spark, log_path, log, tmp_path):
+    """The last batch is lost after its write and before its commit."""
+    root, checkpoint = str(tmp_path / "kpis"), tmp_path / "cp"
+
+    def run():
+        jobs.stream_currency_kpis(file_event_source(spark, log_path, max_files=1), root, str(checkpoint)).awaitTermination()
+
+    run()
+    commits = sorted((checkpoint / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    commits[-1].unlink()
+    run()
+    want = ev.currency_kpis(unique(log))
+    assert frame_rows(sinks.read_latest(spark, f"{root}/kpis", want.schema)) == frame_rows(want)
 
 
 @pytest.fixture(scope="module")

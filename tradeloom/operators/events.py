@@ -163,10 +163,10 @@ ALERT_COLUMNS = (
 ).split()
 
 
-def high_risk_alerts(unique: DataFrame) -> DataFrame:
-    """Alert rows of the transactions at HIGH level."""
+def high_risk_alerts(unique: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """Alert rows of the transactions at HIGH level, with the columns ``keep`` as they are."""
     scored = risk_level(risk_score(unique)).filter("risk_level = 'HIGH'")
-    return risk_reason(scored).select(*ALERT_COLUMNS)
+    return risk_reason(scored).select(*ALERT_COLUMNS, *keep)
 
 
 def event_time_order(flat: DataFrame) -> DataFrame:

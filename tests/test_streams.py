@@ -184,6 +184,28 @@ def test_projection_replay_and_compaction_change_nothing(spark, log, log_path, p
         assert frame_rows(got[name]) == want[name], name
 
 
+def test_folders_stay_few_over_many_batches(spark, log, tmp_path):
+    """Late and repeated batches included, the base gives what one fold over everything gives."""
+    root, tables = str(tmp_path / "projection"), ["history", "rates"]
+    checked = projection.checked_log(log.where("offset % 29 = 0")).persist()
+    schemas = projection.table_schemas(log)
+    counts = []
+    for batch_id in range(24):
+        batch = checked.where(F.col("offset") % 24 == batch_id * 7 % 24)
+        projection.run_batch(batch, batch_id, root, tables, compact_every=3)
+        if batch_id % 5 == 0:
+            projection.run_batch(batch, batch_id, root, tables, compact_every=3)
+        if (batch_id + 1) % 3 == 0:
+            counts.append([len(list((tmp_path / "projection" / n).glob("*=*"))) for n in ("history", "history_marks", "rates_marks")])
+    assert max(c[0] for c in counts) <= 6 and max(max(c[1:]) for c in counts) == 2, counts
+    versions = {p.name for p in (tmp_path / "projection" / "rates_base").glob("*/*")}
+    assert len(list((tmp_path / "projection" / "rates_base").glob("*/*"))) <= 2 * len(versions)
+    for name in tables:
+        want = projection.TABLES[name][1](projection.TABLES[name][0](checked))
+        assert frame_rows(projection.read_table(spark, root, name, schemas[name])) == frame_rows(want), name
+    checked.unpersist()
+
+
 def one_record(spark, value):
     rows = [("k", value, "tf.lc.events")]
     record = spark.createDataFrame(rows, "key string, value string, topic string").selectExpr(

@@ -12,11 +12,12 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tradeloom.functions import from_choices
 from tradeloom.operators.events import route_topic
 from tradeloom.schemas import KAFKA_RECORD, MONEY, PRICE
+from tradeloom.session import landed
 
 _CURRENCIES = ("CAD", "USD", "EUR", "GBP", "JPY", "CNY")
 _PRODUCTS = ("IMPORT_LC", "EXPORT_LC", "GUARANTEE", "COLLECTION")
@@ -257,6 +258,20 @@ def event_log(events: DataFrame) -> DataFrame:
     ).select(*KAFKA_RECORD.fieldNames())
 
 
+# Records of a landed file, at least; a table has at most about so many files.
+FILE_RECORDS, MOST_FILES = 1 << 14, 10_000
+
+
+def _per_file(rows: DataFrame) -> int:
+    return max(FILE_RECORDS, rows.count() // MOST_FILES)
+
+
+def landed_log(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the event log, landed as a topic's files are."""
+    events = table(spark, sf_dir, "events")
+    return landed(spark, f"log:{sf_dir}", lambda: event_log(events), _per_file(events))
+
+
 def retail_events(
     spark: SparkSession,
     sf_dir: str,
@@ -325,8 +340,16 @@ def retail_events(
 def landed_retail_events(
     spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None
 ) -> DataFrame:
-    """``retail_events`` as landed text, with faults planted by part key."""
-    names = _RETAIL_NAMES if columns is None else list(columns)
+    """The landed retail lines; see ``retail_lines``."""
+    names = list(_RETAIL_NAMES if columns is None else columns)
+    per_file = _per_file(table(spark, sf_dir, "lineitem"))
+    path = landed(spark, f"retail:{sf_dir}", lambda: retail_lines(spark, sf_dir), per_file)
+    return spark.read.schema(StructType([StructField(n, StringType()) for n in _RETAIL_NAMES])).parquet(path).select(names)
+
+
+def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``retail_events`` as text, with faults planted by part key."""
+    names = _RETAIL_NAMES
     typed = retail_events(spark, sf_dir, [*names, "part_key"])
     k = F.col("part_key")
 

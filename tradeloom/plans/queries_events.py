@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from tradeloom.operators import events as ev
 from tradeloom.operators import state
 from tradeloom.plans.catalog import query
-from tradeloom.plans.driver_tables import event_log, table
-from tradeloom.schemas import TOPIC_FAMILIES
+from tradeloom.plans.driver_tables import landed_log
+from tradeloom.schemas import KAFKA_RECORD, TOPIC_FAMILIES
 from tradeloom.session import scratch
+from tradeloom.sources.external import RATE_LIMITS
+from tradeloom.sources.files import file_event_source, limited_event_source
 from tradeloom.streaming import jobs, projection, sinks
 
 _FLAT = """topic, event_id, event_type, event_time, transaction_id, product_type, applicant_country,
@@ -21,17 +23,12 @@ _STATE_COLUMNS = """product_type status issue_date expiry_date currency amount a
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_log(table(spark, sf_dir, "events"))
+    return spark.read.schema(KAFKA_RECORD).parquet(landed_log(spark, sf_dir))
 
 
 def _log_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
-    """The event table as a stream of its files, shaped like the Kafka topics."""
-    schema = table(spark, sf_dir, "events").schema
-    reader = spark.readStream.schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    # As a pattern the path may be one file or a folder of files; a plain path must be a folder.
-    return event_log(reader.parquet(f"{sf_dir}/events.parque[t]"))
+    """The log as a stream of its files, shaped like the Kafka topics."""
+    return file_event_source(spark, landed_log(spark, sf_dir), files_per_batch)
 
 
 def _parsed(spark, sf_dir) -> DataFrame:
@@ -64,29 +61,36 @@ def _(spark, sf_dir):
     return ev.subscribed(_log(spark, sf_dir)).select("topic", "partition", "offset")
 
 
+_LIMITS = {job: RATE_LIMITS[job] for job in ("kpis", "alerts")}
+
+
 @query(
     "rate_limit",
-    "SELECT count(*) AS records, 0::BIGINT AS batches_over_limit FROM events",
+    " UNION ALL ".join(
+        f"SELECT '{job}' AS job, count(*) AS records, least(count(*), {limit}) AS largest_batch, 0::BIGINT AS over_limit FROM events"
+        for job, limit in _LIMITS.items()
+    ),
 )
 def _(spark, sf_dir):
-    path = scratch(spark, "limited")
-    stream = _log_stream(spark, sf_dir, files_per_batch=1)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        counted = batch.agg(F.count(F.lit(1)).alias("n"))
-        counted.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    sinks.batch_sink(stream, write, scratch(spark, "limited-checkpoint")).awaitTermination()
-    largest = (
-        table(spark, sf_dir, "events")
-        .groupBy(F.col("_metadata.file_path"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.max("n").alias("largest"))
-        .first()["largest"]
-    )
-    return spark.read.parquet(path).agg(
-        F.sum("n").alias("records"), F.count_if(F.col("n") > largest).alias("batches_over_limit")
-    )
+    """Each job reads the whole log, in micro-batches of at most its limit of records."""
+
+    def sizes(job: str, limit: int) -> DataFrame:
+        path = scratch(spark, "limited")
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            counted = batch.agg(F.count(F.lit(1)).alias("n"))
+            counted.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+        log = limited_event_source(spark, _log(spark, sf_dir), scratch(spark, "limited-log"), limit)
+        sinks.batch_sink(log, write, scratch(spark, "limited-checkpoint")).awaitTermination()
+        return spark.read.schema("n long").parquet(path).agg(
+            F.lit(job).alias("job"),
+            F.sum("n").alias("records"),
+            F.max("n").alias("largest_batch"),
+            F.count_if(F.col("n") > limit).alias("over_limit"),
+        )
+
+    return sizes("kpis", _LIMITS["kpis"]).unionByName(sizes("alerts", _LIMITS["alerts"]))
 
 
 @query(

@@ -267,13 +267,20 @@ def _(spark, sf_dir):
 
 @query("periodic_rescore")
 def _(spark, sf_dir):
-    """One scheduled cycle over the current transactions."""
+    """The first cycle of the timed stream over the current transactions; results and keys per model."""
     base = scratch(spark, "rescore")
     current = _feature_rows(spark, sf_dir, "discrepancy_flag", "delay_flag", "processing_days", "issue_date")
     path = scratch(spark, "current")
     current.write.parquet(path)
-    rescore.run_cycle(spark.read.parquet(path), base)
-    return export.read_results(spark, base).groupBy("model_name").agg(F.count(F.lit(1)).alias("results"))
+    load = lambda: spark.read.parquet(path)
+    stream = rescore.periodic_rescore(spark, load, base, scratch(spark, "rescore-checkpoint"), "1 hour")
+    try:
+        rescore.await_cycles(stream)
+    finally:
+        stream.stop()
+    return export.read_results(spark, base).groupBy("model_name").agg(
+        F.count(F.lit(1)).alias("results"), F.countDistinct("result_key").alias("result_keys")
+    )
 
 
 @query(

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs expect of a cluster session. Shuffle partition count is the upper bound that
 # AQE coalesces from, so it is sized for the cluster rather than for the data of one query.
@@ -49,3 +50,20 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def landed(spark: SparkSession, name: str, build: Callable[[], DataFrame], per_file: int) -> str:
+    """Folder of ``build()``'s rows in files of at most ``per_file`` records, written once per session and name.
+
+    Each task writes the files of its own rows, so landing needs no shuffle, and a table that came as one file
+    is read by many tasks from then on.
+    """
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _LANDED:
+        path = scratch(spark, "landed")
+        build().write.option("maxRecordsPerFile", per_file).parquet(path)
+        _LANDED[key] = path
+    return _LANDED[key]

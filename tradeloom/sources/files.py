@@ -61,6 +61,16 @@ def file_event_source(spark: SparkSession, path: str, max_files: int | None = No
     return reader.parquet(path)
 
 
+def limited_event_source(spark: SparkSession, log: DataFrame, path: str, limit: int) -> DataFrame:
+    """Stream of a stored log in micro-batches of at most ``limit`` records.
+
+    The log is landed under ``path`` in files of at most so many records, and a micro-batch takes one of them; a
+    topic's own reader has ``maxOffsetsPerTrigger`` instead.
+    """
+    log.write.mode("overwrite").option("maxRecordsPerFile", limit).parquet(path)
+    return file_event_source(spark, path, max_files=1)
+
+
 def landing_inventory(spark: SparkSession, path: str) -> DataFrame:
     """Files below a folder with their sizes; the content is not read."""
     return (

@@ -24,7 +24,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,54 +39,67 @@ SCHEMA = (
 )
 
 
+class Remembered(dict):
+    """A bounded memory that works out what it does not hold. When it is full it starts anew beside the
+    one before, from which it takes what is asked for again."""
+
+    def __init__(self, work_out: Callable[[str], bytes], most: int) -> None:
+        super().__init__()
+        self.work_out, self.most, self.older = work_out, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        if found is None:
+            found = self.work_out(key)
+        self[key] = found
+        return found
+
+    def trim(self) -> None:
+        if len(self) > self.most:
+            self.older = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Token ids of a text for a tokenizer file of the ``tokenizers`` library.
 
     The tokenizer lower-cases, drops white space and splits words independently, so words are looked
-    up in a bounded memory and only new ones go through the merge model. Texts with characters for
-    which its own clean-up might differ from the one here go through the tokenizer whole.
+    up in a bounded memory, new words by their pieces, and only new pieces go through the merge model.
+    Texts with characters for which its own clean-up might differ from the one here go through the
+    tokenizer whole.
     """
 
     PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-įı-ɏ]*")
 
-    def __init__(self, path: str, remembered: int = 300_000) -> None:
+    def __init__(self, path: str, remembered: int = 200_000) -> None:
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.remembered, self.memory = self.tokenizer.model, remembered, {}
+        self.model, self.memory = self.tokenizer.model, Remembered(self._word, remembered)
         # The word pattern of the vocabulary file.
         self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
         # Byte-level alphabet: printable bytes stand for themselves, the others follow from U+0100 on.
         own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
         rest = (b for b in range(256) if b not in set(own))
-        self.alphabet = {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
-
-    def _word(self, word: str) -> list[int]:
-        if word.isascii() and word.isalpha():
-            return [t.id for t in self.model.tokenize(word)]
-        alphabet, model = self.alphabet, self.model
-        return [
-            t.id
-            for piece in self.pieces(word)
-            for t in model.tokenize("".join([alphabet[b] for b in piece.encode()]))
-        ]
+        self.alphabet = {b: chr(256 + i) for i, b in enumerate(rest)}
+
+    def _word(self, word: str) -> bytes:
+        if not (word.isascii() and word.isalpha()):
+            pieces = self.pieces(word)
+            if len(pieces) > 1:
+                return b"".join([self.memory[piece] for piece in pieces])
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(self.alphabet)
+        return array("i", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, np.int32)
         if "<|" in text or not self.PLAIN.fullmatch(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
-        memory = self.memory
-        if len(memory) > self.remembered:
-            memory.clear()
-        out: list[int] = []
-        for word in text.lower().split():
-            ids = memory.get(word)
-            if ids is None:
-                ids = memory[word] = self._word(word)
-            out += ids
-        return np.array(out, np.int32)
+        self.memory.trim()
+        return np.frombuffer(b"".join(map(self.memory.__getitem__, text.lower().split())), np.int32)
 
 
 class Packer:
@@ -186,7 +200,7 @@ def pack(
         for number, window in enumerate(windows, first):
             offset, total = 0, padded_length(sum(len(ids) for *_, ids in window), length)
             for (document, tokens), start, ids in window:
-                crc = zlib.crc32(ids.astype("<u4").tobytes())
+                crc = zlib.crc32(np.ascontiguousarray(ids, "<i4"))
                 kept = ids if with_ids else None
                 out.append((document, start, len(ids), kept, crc, tokens, number, offset, total))
                 offset += len(ids)

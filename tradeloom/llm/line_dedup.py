@@ -5,7 +5,7 @@ tokens that hold a digit as ``<*>``. The lines under one leaf give its template:
 that at least ``agree`` of them share, else ``<*>``. A line belongs to the leaf's template if it equals
 it in at least ``similar`` of its places; any other line is a template of its own, with its digits
 generalised. Templates found in ``min_documents`` different texts recur and their lines are dropped; from
-``LONG_TOKENS`` tokens on ``LONG_DOCUMENTS`` different texts are enough. A token is shared if two lines have it.
+``long_tokens`` tokens on ``long_documents`` different texts are enough. A token is shared if two lines have it.
 
 All counts are over distinct texts, so exact copies of a document do not make its lines recur. Leaves
 and templates are counted from hashes of fixed size with partial aggregation; tokens are looked at only
@@ -41,44 +41,57 @@ DEPTH, MIN_TOKENS, MIN_DOCUMENTS = 3, 3, 5
 LONG_TOKENS, LONG_DOCUMENTS = 50, 2
 AGREE, SIMILAR = 0.5, 0.6
 
-_VARIABLE = re.compile(r"\S*\d\S*")
+_DIGIT, _SPACE = re.compile(r"\d"), re.compile(r"\s")
 
 
-def _hash(text: str) -> int:
-    return int(np.uint64(xxhash.xxh64_intdigest(text)).astype(np.int64))
+def tokens(line: str) -> list[bytes]:
+    """Tokens of a line between ASCII white space, in UTF-8, those with a digit generalised. A token with
+    other white space in it stays as it is."""
+    parts = line.encode().split()
+    if not _DIGIT.search(line):
+        return parts
+    texts = b" ".join(parts).decode().split(" ")
+    return [
+        WILD.encode() if _DIGIT.search(text) and not _SPACE.search(text) else part
+        for part, text in zip(parts, texts, strict=True)
+    ]
 
 
-def tokens(line: str) -> list[str]:
-    """Tokens of a line between ASCII white space, those with a digit generalised."""
-    return [WILD if _VARIABLE.fullmatch(t) else t for t in re.split(r"[\x20\x09-\x0D]+", line) if t]
+def leaf(parts: list[bytes], depth: int = DEPTH) -> int:
+    """The tree's leaf, unsigned: number of tokens and leading tokens."""
+    return xxhash.xxh64_intdigest(b"%d\n" % len(parts) + b" ".join(parts[:depth]))
 
 
-def leaf(parts: list[str], depth: int = DEPTH) -> int:
-    """The tree's leaf: number of tokens and leading tokens."""
-    return _hash(f"{len(parts)}\n" + " ".join(parts[:depth]))
+def template(parts: list[bytes]) -> int:
+    return xxhash.xxh64_intdigest(b" ".join(parts))
 
 
-def template(parts: list[str]) -> int:
-    return _hash(" ".join(parts))
-
-
-def _parse(docs: DataFrame, depth: int, min_tokens: int, id_col: str, text_col: str) -> DataFrame:
+def _parse(docs: DataFrame, depth: int, min_tokens: int, long_tokens: int, id_col: str, text_col: str) -> DataFrame:
     """(``id``, ``text_key``, ``line``, ``leaf``, ``own``, ``is_long``) of every line with enough tokens."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
+            rows, lines, leaves, own, sizes = [], [], [], [], []
             for row, text in enumerate(batch["text"]):
                 for line, words in enumerate((text or "").split("\n")):
                     parts = tokens(words)
                     if len(parts) >= min_tokens:
-                        out.append((row, line, leaf(parts, depth), template(parts), len(parts) >= LONG_TOKENS))
-            found = pd.DataFrame(out, columns=["row", "line", "leaf", "own", "is_long"]).astype("int64")
-            found["is_long"] = found["is_long"].astype(bool)
-            row = found.pop("row").to_numpy()
-            found.insert(0, "id", batch["id"].astype("Int64").to_numpy()[row])
-            found.insert(1, "text_key", batch["text_key"].to_numpy()[row])
-            yield found
+                        rows.append(row)
+                        lines.append(line)
+                        leaves.append(leaf(parts, depth))
+                        own.append(template(parts))
+                        sizes.append(len(parts))
+            row = np.array(rows, np.int64)
+            yield pd.DataFrame(
+                {
+                    "id": batch["id"].astype("Int64").to_numpy()[row],
+                    "text_key": batch["text_key"].to_numpy()[row],
+                    "line": np.array(lines, np.int32),
+                    "leaf": np.array(leaves, np.uint64).view(np.int64),
+                    "own": np.array(own, np.uint64).view(np.int64),
+                    "is_long": np.array(sizes, np.int64) >= long_tokens,
+                }
+            )
 
     rows = _keyed(docs, id_col, text_col)
     return rows.mapInPandas(run, "id long, text_key long, line int, leaf long, own long, is_long boolean")
@@ -92,11 +105,11 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _texts_with(texts: int, key: str, rows: DataFrame) -> DataFrame:
+def _texts_with(texts: int, long_texts: int, key: str, rows: DataFrame) -> DataFrame:
     """Keys found in at least so many different texts, or in fewer if they are long. Lines of one key are
     of one length."""
     found = rows.select(key, "is_long", "text_key").distinct().groupBy(key, "is_long").agg(F.count("*").alias("texts"))
-    least = F.when(F.col("is_long"), min(texts, LONG_DOCUMENTS)).otherwise(texts)
+    least = F.when(F.col("is_long"), min(texts, long_texts)).otherwise(texts)
     return found.where(F.col("texts") >= least).drop("is_long")
 
 
@@ -111,7 +124,8 @@ def _line_tokens(docs: DataFrame, lines: DataFrame, id_col: str, text_col: str)
             out = []
             for text, chosen in zip(batch["text"], batch["lines"], strict=True):
                 parts = text.split("\n")
-                out += [(c["leaf"], c["own"], tokens(parts[c["line"]])) for c in chosen]
+                for c in chosen:
+                    out.append((c["leaf"], c["own"], b" ".join(tokens(parts[c["line"]])).decode().split(" ")))
             yield pd.DataFrame(out, columns=["leaf", "own", "parts"])
 
     return both.select("text", "lines").mapInPandas(run, "leaf long, own long, parts array<string>")
@@ -147,19 +161,21 @@ def find(
     depth: int = DEPTH,
     min_tokens: int = MIN_TOKENS,
     min_documents: int = MIN_DOCUMENTS,
+    long_tokens: int = LONG_TOKENS,
+    long_documents: int = LONG_DOCUMENTS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """Lines to drop: ``id``, ``text_key``, ``line``, ``template``, ``texts`` it occurs in."""
-    lines = staged(_parse(docs, depth, min_tokens, id_col, text_col), "parsed")
-    leaves = _texts_with(min_documents, "leaf", lines).select("leaf")
+    lines = staged(_parse(docs, depth, min_tokens, long_tokens, id_col, text_col), "parsed")
+    leaves = _texts_with(min_documents, long_documents, "leaf", lines).select("leaf")
     busy = staged(lines.join(leaves, "leaf", "left_semi"), "busy")
     fitting = templates(_line_tokens(docs, busy, id_col, text_col))
     named = busy.join(fitting, ["leaf", "own"], "left").select(
         "id", "text_key", "line", "is_long", F.when(F.col("general"), F.col("leaf")).otherwise(F.col("own")).alias("template")
     )
     named = staged(named, "named")
-    return named.drop("is_long").join(_texts_with(min_documents, "template", named), "template")
+    return named.drop("is_long").join(_texts_with(min_documents, long_documents, "template", named), "template")
 
 
 def dedup(
@@ -167,12 +183,14 @@ def dedup(
     depth: int = DEPTH,
     min_tokens: int = MIN_TOKENS,
     min_documents: int = MIN_DOCUMENTS,
+    long_tokens: int = LONG_TOKENS,
+    long_documents: int = LONG_DOCUMENTS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """Per document ``id``, ``n_lines``, ``n_dropped`` and the ``text`` that is left."""
     dropped = (
-        find(docs, depth, min_tokens, min_documents, id_col, text_col)
+        find(docs, depth, min_tokens, min_documents, long_tokens, long_documents, id_col, text_col)
         .groupBy("id", "text_key")
         .agg(F.collect_set("line").alias("dropped"))
         .select(F.col("id").alias("__id"), F.col("text_key").alias("__key"), "dropped")

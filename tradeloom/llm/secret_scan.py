@@ -2,13 +2,13 @@
 random strings from ordinary identifiers.
 
 Both models are first-order: the probability of a character given the one before it, with one added to
-each count. A candidate is a run of 16 or more key characters outside the pattern spans; it is a secret
-if the log-likelihood ratio of random to ordinary, summed over its transitions, is above the threshold
+each count. A candidate is a run of 16 or more key characters in what is left when the pattern spans are
+blanked, so what stands before and after one is tested by itself; it is a secret if the log-likelihood ratio of random to ordinary, summed over its transitions, is above the threshold
 (ln 1000: one random string to a thousand identifiers). The models come from labelled samples; only
 their counts, at most 2 x 65 x 65, reach the driver.
 
-All spans are found row by row, without a shuffle. A match's place is the sum of the lengths of the
-pieces and matches before it, taken for matches that count only.
+All spans are found row by row, without a shuffle, in time proportional to the text. A match's place is the
+running sum of the lengths of the pieces and matches up to it.
 
 Defined results
     null or empty text  no spans
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,11 @@ HEX = r"[0-9a-f]{24,}"
 VALUE_LENGTH = 6
 KINDS = ["assign", "access", "hex", "random"]
 
+# A blanked span starts with EDGE. Keys that run into the next span are blanked with it: an access key into
+# an upper-case name or the hex run after it, a hex run into the "a" of a name.
+EDGE = "\x01"
+KEYS = rf"AKIA[A-Z0-9]{{16,}}[0-9a-f]*|AKIA[A-Z0-9]*(?={EDGE})|[0-9a-f]{{24,}}|[0-9a-f]{{23}}(?={EDGE})"
+
 CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{4,}"
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -45,7 +51,7 @@ THRESHOLD = math.log(1000)
 SAMPLE_ROWS = 4_000
 
 
-def _matches(text: str, pattern: str, group: int = 0) -> Column:
+def _matches(text: str | Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
@@ -91,24 +97,82 @@ def fit(samples: DataFrame) -> list[float]:
     return table
 
 
-def _total(lengths: Column, count: Column) -> Column:
-    return F.aggregate(F.slice(lengths, F.lit(1), count), F.lit(0), lambda total, n: total + n)
+def _let(use: Callable[[Column], Column], **values: Column) -> Column:
+    """``use`` of a struct of ``values``, which are computed once however often ``use`` names them."""
+    bound = F.array(F.struct(*[value.alias(name) for name, value in values.items()]))
+    return F.get(F.transform(bound, use), 0)
+
+
+def _last(numbers: Column) -> Column:
+    return F.coalesce(F.get(numbers, F.size(numbers) - 1), F.lit(0))
+
+
+def _sums(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.array().cast("array<int>"), lambda acc, n: F.concat(acc, F.array(_last(acc) + n)))
+
 
+def _running(numbers: Column, block: int = 256) -> Column:
+    """Running sums. Arrays grow by copies, so sums are taken in blocks and the totals of blocks added."""
 
-def _spans(rank: int, matches: str, pieces: str, keep) -> Column:
-    """Structs (start, rank, end) of the matches for which ``keep(i)`` holds."""
-    numbers = F.when(F.size(matches) > 0, F.sequence(F.lit(0), F.size(matches) - 1)).otherwise(
-        F.array().cast("array<int>")
+    def whole(own: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                own["blocks"],
+                lambda sums, i: F.transform(sums, lambda n: n + F.get(own["totals"], i) - _last(sums)),
+            )
+        )
+
+    def blocks(own: Column) -> Column:
+        count = F.ceil(F.size(own["numbers"]) / block).cast("int")
+        firsts = F.slice(F.sequence(F.lit(0), count), F.lit(1), count)
+        return F.transform(firsts, lambda b: _sums(F.slice(own["numbers"], b * block + 1, F.lit(block))))
+
+    return _let(
+        lambda own: _let(whole, blocks=own["blocks"], totals=_sums(F.transform(own["blocks"], _last))),
+        blocks=_let(blocks, numbers=numbers),
     )
-    lengths = F.transform(matches, F.length)
 
-    def span(i: Column) -> Column:
-        start = _total(F.col(pieces), i + 1) + _total(lengths, i)
-        return F.struct(
-            start.alias("start"), F.lit(rank).alias("rank"), (start + F.length(F.get(matches, i))).alias("end")
+
+def _spans(rank: int, text: Column, pattern: str, keep: Callable[[Column], Column] | None = None, group: int = 0) -> Column:
+    """Structs (start, rank, end) of the matches whose ``group`` fits ``keep``."""
+
+    def span(own: Column) -> Column:
+        return F.transform(
+            own["lengths"],
+            lambda n, i: F.struct(
+                (F.get(own["ends"], i) - n).alias("start"), F.lit(rank).alias("rank"), F.get(own["ends"], i).alias("end")
+            ),
         )
 
-    return F.transform(F.filter(numbers, keep), span)
+    def placed(own: Column) -> Column:
+        steps = F.transform(own["lengths"], lambda n, i: n + F.get(own["pieces"], i))
+        return _let(span, lengths=own["lengths"], ends=_running(steps))
+
+    lengths = F.transform(_matches(text, pattern), F.length)
+    every = _let(placed, lengths=lengths, pieces=F.transform(F.split(text, pattern), F.length))
+    if keep is None:
+        return every
+    return _let(
+        lambda own: F.filter(own["every"], lambda s, i: keep(F.get(own["groups"], i))),
+        every=every,
+        groups=_matches(text, pattern, group),
+    )
+
+
+def _blanked(text: Column, pattern: str, keep: Callable[[Column], Column], group: int = 0) -> Column:
+    """``text`` with blanks, as many, for the matches whose ``group`` fits ``keep``."""
+
+    def joined(own: Column) -> Column:
+        def filled(piece: Column, i: Column) -> Column:
+            match = F.get(own["matches"], i)
+            blank = F.concat(F.lit(EDGE), F.repeat(F.lit(" "), F.length(match) - 1))
+            return F.concat(piece, F.coalesce(F.when(keep(F.get(own["groups"], i)), blank).otherwise(match), F.lit("")))
+
+        return F.array_join(F.transform(own["pieces"], filled), "")
+
+    return _let(
+        joined, pieces=F.split(text, pattern), matches=_matches(text, pattern), groups=_matches(text, pattern, group)
+    )
 
 
 def _ratio(table: list[float], candidate: Column) -> Column:
@@ -132,33 +196,19 @@ def find(
     """Per document ``id``, ``base`` (spans of the patterns) and ``spans`` (these and the models'):
     structs of start, rank in KINDS, end, in code points, ordered."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "random": CANDIDATE}
-    found = rows.select(
-        "id",
-        _matches("text", ASSIGN, 2).alias("values"),
-        *[_matches("text", p).alias(f"{k}_matches") for k, p in patterns.items()],
-        *[F.transform(F.split("text", p), F.length).alias(f"{k}_pieces") for k, p in patterns.items()],
-    )
-    every = lambda i: F.lit(True)
-    base = found.select(
-        "id",
-        "random_matches",
-        "random_pieces",
-        F.sort_array(
-            F.concat(
-                _spans(0, "assign_matches", "assign_pieces", lambda i: F.length(F.get("values", i)) >= VALUE_LENGTH),
-                _spans(1, "access_matches", "access_pieces", every),
-                _spans(2, "hex_matches", "hex_pieces", every),
-            )
-        ).alias("base"),
-    )
-    likely = lambda i: _ratio(table, F.get("random_matches", i)) > threshold
-    more = base.select("id", "base", _spans(3, "random_matches", "random_pieces", likely).alias("more"))
-    apart = F.filter(
-        "more",
-        lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])),
+    text = F.col("text")
+    long_enough = lambda value: F.length(value) >= VALUE_LENGTH
+    likely = lambda candidate: _ratio(table, candidate) > threshold
+    base = F.concat(_spans(0, text, ASSIGN, long_enough, 2), _spans(1, text, ACCESS), _spans(2, text, HEX))
+    more = _let(
+        lambda own: _spans(3, own["rest"], CANDIDATE, likely),
+        rest=_let(
+            lambda own: _blanked(own["rest"], KEYS, lambda key: F.lit(True)),
+            rest=_blanked(text, ASSIGN, long_enough, 2),
+        ),
     )
-    return more.select("id", "base", F.sort_array(F.concat("base", apart)).alias("spans"))
+    found = rows.select("id", F.sort_array(base).alias("base"), more.alias("more"))
+    return found.select("id", "base", F.sort_array(F.concat("base", "more")).alias("spans"))
 
 
 def written(spans: str) -> Column:

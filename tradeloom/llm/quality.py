@@ -1,7 +1,7 @@
 """Quality rules with risk-controlled cutoffs.
 
 Each rule rejects a document whose statistic is above the cutoff of its stratum. Labelled documents are
-split by a hash of their id: the design half gives the grid of cutoffs, quantiles of each statistic over
+split by a hash of their text: the design half gives the grid of cutoffs, quantiles of each statistic over
 its good documents; the holdout half certifies. A step of the grid is a vector, the same quantile of every
 rule, so the steps are nested: what one turns down, all stricter ones do. Per stratum the steps are walked
 from the most lenient on. One is certified if an exact binomial test rejects, on the holdout's good
@@ -12,8 +12,9 @@ not (a fixed sequence needs no correction for its own steps), and the level is `
 turns down most bad documents is used, and of equal ones the most lenient; a rule that catches nothing
 there is off, and so are all rules of a stratum that cannot be certified.
 
-Statistics are computed once per document and staged; all labelled rows count, as sums per step. Counts and
-cutoffs are tables with a row per stratum; the number of strata has no bound.
+The bound holds for independent trials, so copies are one: a text counts once per stratum and label, however
+many rows, ids or labels repeat it, and all its copies are in one half. Statistics are computed once per
+document and staged; all labelled texts count, as sums per step. Counts and cutoffs are tables with a row per stratum; the number of strata has no bound.
 
 Defined results
     null or empty text   no words: every statistic is 0
@@ -21,7 +22,8 @@ Defined results
     rare stratum         too few good labels to certify: every rule is off
     null id or label     cannot be labelled
     no labels            every rule is off
-    repeated rows        are judged alike, each its own
+    repeated rows        are judged alike, each its own; in the bound they are one
+    repeated labels      of one id count once; an id with both labels is left out
     ties                 a statistic equal to the cutoff is kept
     empty table          no rows
     extra columns        are never read; clashing names are not a problem
@@ -39,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import staged
+from tradeloom.llm.common import staged, text_digest
 
 RISK, DELTA = 0.02, 0.05
 # Shares of the good documents that the cutoffs of the grid keep.
@@ -105,9 +107,10 @@ def statistics(docs: DataFrame, id_col: str, text_col: str, stratum_col: str) ->
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.coalesce(F.col(stratum_col).cast("string"), F.lit(UNKNOWN)).alias("stratum"),
+        text_digest(text_col).alias("digest"),
         F.col(text_col).alias("text"),
     )
-    return rows.mapInPandas(run, f"id long, stratum string, {STATISTICS}")
+    return rows.mapInPandas(run, f"id long, stratum string, digest binary, {STATISTICS}")
 
 
 def binomial_below(k: int, n: int, p: float) -> float:
@@ -144,11 +147,31 @@ class Cutoffs:
         return {r: row[f"max_{r}"] for r in RULES if row and row[f"max_{r}"] is not None}
 
 
-def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", risk: float = RISK, delta: float = DELTA) -> Cutoffs:
-    """Cutoffs per stratum and rule from ``labels`` (``id_col``, ``quality`` 1 good, 0 bad)."""
-    marked = labels.where("quality is not null").select(F.col(id_col).alias("id"), F.col("quality").cast("int").alias("quality"))
-    half = (F.pmod(F.xxhash64("id"), F.lit(2)) == 0).alias("design")
-    rows = staged(stats.join(marked, "id").select("stratum", "quality", half, *RULES), "labelled")
+def fit(
+    stats: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    risk: float = RISK,
+    delta: float = DELTA,
+    trial: str = "id",
+) -> Cutoffs:
+    """Cutoffs per stratum and rule from ``labels`` (``id_col``, ``quality`` 1 good, 0 bad). Rows of ``stats``
+    with one ``trial`` are copies and count once per stratum and label."""
+    marked = (
+        labels.select(F.col(id_col).alias("id"), F.col("quality").cast("int").alias("quality"))
+        .groupBy("id")
+        .agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
+        .where("quality = most")
+        .drop("most")
+    )
+    half = (F.pmod(F.xxhash64("trial"), F.lit(2)) == 0).alias("design")
+    rows = staged(
+        stats.join(marked, "id")
+        .groupBy(F.col(trial).alias("trial"), "stratum", "quality")
+        .agg(*[F.max(r).alias(r) for r in RULES])
+        .select("stratum", "quality", half, *RULES),
+        "labelled",
+    )
     good = rows.where("design and quality = 1")
     grid = [F.percentile_approx(r, GRID, 10_000).alias(f"grid_{r}") for r in RULES]
     grids = staged(good.groupBy("stratum").agg(*grid), "grids")
@@ -197,7 +220,7 @@ def base_failed():
 def decide(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
     """Per document ``id``, the base counts, ``base_failed``, ``failed`` rules, ``kept``."""
     stats = staged(statistics(docs, id_col, text_col, stratum_col), "statistics")
-    judged = judge(stats, fit(stats, labels, id_col))
+    judged = judge(stats, fit(stats, labels, id_col, trial="digest"))
     return judged.select(
         "id", *COUNTS, base_failed().alias("base_failed"), "failed"
     ).withColumn("kept", (~F.col("base_failed")) & (F.size("failed") == 0))

@@ -259,6 +259,14 @@ def _across(stars: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -
     unsettled = placed.groupBy("lead").agg(F.count("*").alias("members"), F.max("outside").alias("any"))
     placed = placed.join(unsettled.where("any and members > 1").select("lead"), "lead", "left_semi")
     marks = staged(_differences(placed, sets, percent), "differences")
+    # A shingle that the members of one component alone have joins nothing; most are such.
+    mixed = (
+        marks.groupBy("lead", "shingle")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("outside").alias("any"))
+        .where("low < high and any")
+        .select("lead", "shingle")
+    )
+    marks = staged(marks.join(mixed, ["lead", "shingle"], "left_semi"), "mixed")
     # The sets may differ in so many shingles. For given |Dx| and |Dy|, the shared shingle is even among
     # the first (|Dx| - |Dy| + apart) / 2 + 1 of Dx, and likewise of Dy.
     apart = f"(x.size + y.size) * {100 - percent} / {100 + percent}"

@@ -45,24 +45,6 @@ def test_lm_counts_and_held_out_perplexity(spark, sf_dir, texts):
     assert total[True] > base[True] and total[False] > base[False]
 
 
-def test_lm_probabilities_sum_to_one(spark):
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b a b c", "a b d", "b a", "a a a b"])], "doc_id long, text string")
-    model = lm.fit(docs, lm.blocks(docs, "doc_id", "text"), context_share=0.2)
-    seated, totals = model.seated.collect(), model.totals
-    root = {bytes(r.word): totals.root(r.root_customers, r.root_tables) for r in seated}
-    unseen = totals.root(0.0, 0.0)
-    assert sum(root.values()) + unseen == pytest.approx(1)
-    for context in [lm.START, *model.contexts.values()]:
-        back = totals.backoff()[context]
-        p = back * unseen
-        for r in seated:
-            p += back * root[bytes(r.word)]
-            for at, c, t in zip(r.contexts, r.counts, r.tables, strict=True):
-                if at == context:
-                    p += (c - lm.DISCOUNT * t) / (lm.STRENGTH + totals.customers[context])
-        assert p == pytest.approx(1)
-
-
 def test_table_numbers_follow_the_conditional():
     """Three customers of one dish: the three table numbers by their exact weights."""
     place, rng = lm.Restaurant(0.5, 1.0), np.random.default_rng(1)

@@ -35,7 +35,7 @@ def labels(spark):
 
 def scored(docs):
     counted = lm.blocks(docs, "doc_id", "text")
-    return lm.score(lm.fit(docs, counted), counted)
+    return lm.score(lm.fit(counted), counted)
 
 
 PER_DOCUMENT = {

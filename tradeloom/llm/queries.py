@@ -43,7 +43,7 @@ def op2_pitman_yor_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probabilities of every document; six sevenths of them are learnt from."""
     docs = table(spark, sf_dir, "documents")
     counted = lm.blocks(docs, "doc_id", "text")
-    scores = lm.score(lm.fit(docs, counted), counted)
+    scores = lm.score(lm.fit(counted), counted)
     perplexity = F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))
     return scores.withColumnRenamed("id", "doc_id").withColumn("perplexity", perplexity)
 

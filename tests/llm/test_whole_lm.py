@@ -38,7 +38,7 @@ class Plain:
     """The model's probabilities, pair by pair, from counts of the texts and the seating."""
 
     def __init__(self, docs, spark, **options):
-        counted = lm.blocks(docs, "doc_id", "text", F.col("held"))
+        counted = lm.blocks(docs, "doc_id", "text", F.col("held"), buckets=5)
         self.model = lm.fit(counted, **options)
         self.scores = {r.id: r for r in lm.score(self.model, counted).collect()}
         self.ids = ids_of(self.model, counted)

@@ -23,8 +23,8 @@ What is counted and drawn lies in packed rows, so that Spark moves few and small
 A block asks the buckets for its words and the shards for its pairs; in each round a shard tells the
 buckets what its pairs saved (customers less tables, per word and per context) and is told the totals. So
 a shard or block meets only words that occur in it, and only two numbers of the root pass through the
-driver. Buckets and shards are as many as ``spark.sql.shuffle.partitions``; a pair takes about 2 bytes in a
-shuffle and 60 in a task.
+driver. There is a bucket and a shard for every ``SHARE`` bytes of text, so a task's part stays alike at
+every size and messages stay large.
 
 Defined results
     null or empty text  one token, the end
@@ -50,11 +50,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import lower_words, shuffle_partitions, staged
+from tradeloom.llm.common import lower_words, staged
 
 # No word is empty or holds a line feed or tab.
 END, START = b"\n", b"\t"
 BLOCK = 1 << 22
+# Bytes of text for each bucket and shard.
+SHARE = 1 << 24
 # Customers of a context from which on its pairs are dealt to several shards.
 PART = 1 << 20
 EXACT = 64
@@ -179,9 +181,11 @@ BLOCK_ROWS = "block long, bucket int, ids array<long>, held array<boolean>, leng
 def blocks(
     docs: DataFrame, id_col: str, text_col: str, held: Column | None = None, buckets: int | None = None
 ) -> DataFrame:
-    """Documents where ``held`` (by default ``is_held_out``) are scored, not learnt from."""
+    """Documents where ``held`` (by default ``is_held_out``) are scored, not learnt from. ``buckets`` of words are
+    counted from the bytes of text, if not set."""
     held = is_held_out(id_col) if held is None else F.coalesce(held, F.lit(False))
-    buckets = buckets or shuffle_partitions(docs.sparkSession)
+    if buckets is None:
+        buckets = (docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0) // SHARE + 1
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number, block = TaskContext.get().partitionId() << 32, Block()
@@ -488,9 +492,9 @@ class Model:
 
 
 def fit(counted: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES, shards: int | None = None, seed: int = 7) -> Model:
-    """``counted``: the rows of ``blocks``. As many buckets and ``shards`` as shuffle partitions, if not set."""
-    shards = shards or shuffle_partitions(counted.sparkSession)
+    """``counted``: the rows of ``blocks``. As many ``shards`` as buckets, if not set."""
     buckets = (counted.agg(F.max("bucket")).first()[0] or 0) + 1
+    shards = shards or buckets
     words = _numbered(counted, buckets)
     size = words.agg(F.sum("words"), F.sum("tokens")).first()
     size, tokens = size[0] or 0, size[1] or 0

@@ -381,10 +381,10 @@ _RETAIL_NAMES = (
 ).split()
 
 
-def retail_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product dimension that lacks every fiftieth part."""
-    part = table(spark, sf_dir, "part").filter("p_partkey % 50 <> 0")
-    return part.select(
+def retail_products(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    """Product dimension; with ``gaps`` it lacks every fiftieth part, for the checks of references."""
+    part = table(spark, sf_dir, "part")
+    return (part.filter("p_partkey % 50 <> 0") if gaps else part).select(
         F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
@@ -392,9 +392,10 @@ def retail_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def retail_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store dimension that lacks every seventh supplier."""
-    supplier = table(spark, sf_dir, "supplier").filter("s_suppkey % 7 <> 0")
+def retail_stores(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    """Store dimension; with ``gaps`` it lacks every seventh supplier."""
+    supplier = table(spark, sf_dir, "supplier")
+    supplier = supplier.filter("s_suppkey % 7 <> 0") if gaps else supplier
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return (
         supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
@@ -408,11 +409,11 @@ def retail_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def retail_promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Promotion dimension: the promotions in use, except PR010; dates from the shipping window."""
+def retail_promotions(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    """Promotion dimension: the promotions in use, with ``gaps`` except PR010; dates from the shipping window."""
     lines = table(spark, sf_dir, "lineitem").filter("l_discount >= 0.05")
     number = (F.col("l_discount") * 100).try_cast("decimal(6,0)")
-    return (
+    promotions = (
         lines.groupBy(number.cast("string").alias("number"))
         .agg(
             F.min("l_partkey").alias("part_key"),
@@ -427,8 +428,8 @@ def retail_promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
             "end_date",
             (F.col("number").cast("decimal(6,0)") / 100).cast("decimal(6,4)").alias("discount_rate"),
         )
-        .filter("promotion_id <> 'PR010'")
     )
+    return promotions.filter("promotion_id <> 'PR010'") if gaps else promotions
 
 
 def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions import as_decimal, as_smallint, clean, stripped
-from tradeloom.operators import quality, retail
+from tradeloom.operators import load, quality, retail
 from tradeloom.plans.catalog import query
 from tradeloom.plans.driver_tables import (
     landed_retail_events,
@@ -16,7 +18,7 @@ from tradeloom.plans.driver_tables import (
     retail_stores,
     table,
 )
-from tradeloom.schemas import DATA_DICTIONARY_RAW, RETAIL_EVENTS_RAW
+from tradeloom.schemas import DATA_DICTIONARY_RAW, EXPECTED_COUNTS, RETAIL_EVENTS_RAW
 from tradeloom.session import scratch
 from tradeloom.sources import files
 from tradeloom.sources.external import SOURCE_VIEWS, source_view
@@ -85,7 +87,12 @@ def _(spark, sf_dir):
     )
 
 
-_VIEW_COUNTS = {"products": "products", "stores": "stores", "promotions": "promotions", "retail_events": "sales"}
+_VIEW_COUNTS = {
+    "products": "all_products",
+    "stores": "all_stores",
+    "promotions": "all_promotions",
+    "retail_events": "sales",
+}
 
 
 @query(
@@ -94,7 +101,7 @@ _VIEW_COUNTS = {"products": "products", "stores": "stores", "promotions": "promo
         f"SELECT '{v}' AS view_name, {len(SOURCE_VIEWS[v])} AS columns, count(*) AS records FROM {r}"
         for v, r in _VIEW_COUNTS.items()
     ),
-    "products stores promotions sales",
+    "all_products all_stores all_promotions sales",
 )
 def _(spark, sf_dir):
     tables = {
@@ -177,9 +184,9 @@ def _(spark, sf_dir):
 @query(
     "typed_promotions",
     """SELECT promotion_id, product_id, promotion_name, CAST(start_date AS VARCHAR) AS start_date,
-    CAST(end_date AS VARCHAR) AS end_date, CAST(discount_rate AS DOUBLE) AS discount_rate FROM promotions
+    CAST(end_date AS VARCHAR) AS end_date, CAST(discount_rate AS DOUBLE) AS discount_rate FROM all_promotions
     WHERE promotion_id NOT IN ('PR005', 'PR006', 'PR007')""",
-    "promotions",
+    "all_promotions",
 )
 def _(spark, sf_dir):
     rows = retail_promotions(spark, sf_dir)
@@ -298,7 +305,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     facts = retail_events(spark, sf_dir, ["event_id", "product_id"])
-    return quality.orphans(facts, retail_products(spark, sf_dir), "product_id").select(
+    return quality.orphans(facts, retail_products(spark, sf_dir, gaps=True), "product_id").select(
         "event_id", "product_id"
     )
 
@@ -310,7 +317,8 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     facts = retail_events(spark, sf_dir, ["event_id", "store_id"])
-    return quality.orphans(facts, retail_stores(spark, sf_dir), "store_id").select("event_id", "store_id")
+    known = retail_stores(spark, sf_dir, gaps=True)
+    return quality.orphans(facts, known, "store_id").select("event_id", "store_id")
 
 
 @query(
@@ -321,7 +329,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     facts = retail_events(spark, sf_dir, ["event_id", "promotion_id"])
-    return quality.orphans(facts, retail_promotions(spark, sf_dir), "promotion_id").select(
+    return quality.orphans(facts, retail_promotions(spark, sf_dir, gaps=True), "promotion_id").select(
         "event_id", "promotion_id"
     )
 
@@ -332,7 +340,7 @@ def _(spark, sf_dir):
     "stores sales",
 )
 def _(spark, sf_dir):
-    target = retail_stores(spark, sf_dir).select("store_city")
+    target = retail_stores(spark, sf_dir, gaps=True).select("store_city")
     incoming = retail_events(spark, sf_dir, ["store_city"])
     return quality.insert_missing_lookup(target, incoming, "store_city")
 
@@ -364,8 +372,8 @@ def _fk(table_name: str, rows: str, key: str, dimension: str, dimension_key: str
     "sales stores products promotions",
 )
 def _(spark, sf_dir):
-    products, stores = retail_products(spark, sf_dir), retail_stores(spark, sf_dir)
-    promotions = retail_promotions(spark, sf_dir)
+    products, stores = retail_products(spark, sf_dir, gaps=True), retail_stores(spark, sf_dir, gaps=True)
+    promotions = retail_promotions(spark, sf_dir, gaps=True)
     payments = inline_values(spark, "payment_type", ["1-URGENT", "2-HIGH"])
     categories = inline_values(spark, "category", ["STANDARD", "PROMO"])
     event_keys = {
@@ -424,9 +432,9 @@ _COUNTS = {
     "Provinces": "nation",
     "StoreRegions": "region",
     "PaymentTypes": "(SELECT DISTINCT o_orderpriority FROM orders)",
-    "Products": "products",
-    "Stores": "stores",
-    "Promotions": "promotions",
+    "Products": "all_products",
+    "Stores": "all_stores",
+    "Promotions": "all_promotions",
     "RetailEvents": "sales",
     "SourceDataDictionary": "(SELECT DISTINCT p_name, p_brand FROM part)",
     "RejectedRetailEvents": f"(SELECT * FROM judged WHERE {_BAD})",
@@ -436,7 +444,7 @@ _COUNT_SQL = " UNION ALL ".join(
 )
 
 
-@query("table_row_counts", _COUNT_SQL, "products stores promotions sales judged")
+@query("table_row_counts", _COUNT_SQL, "all_products all_stores all_promotions sales judged")
 def _(spark, sf_dir):
     return quality.table_row_counts(_stored(spark, sf_dir))
 
@@ -448,12 +456,82 @@ def _(spark, sf_dir):
       ('RetailEvents', 38143::BIGINT, 51004), ('SourceDataDictionary', 18::BIGINT, 51005),
       ('RejectedRetailEvents', 2::BIGINT, 51006)) e(table_name, expected_count, code)
     JOIN ({_COUNT_SQL}) c ON c.table_name = e.table_name""",
-    "products stores promotions sales judged",
+    "all_products all_stores all_promotions sales judged",
 )
 def _(spark, sf_dir):
     return quality.expected_count_gate(quality.table_row_counts(_stored(spark, sf_dir)))
 
 
+_LOADED = {"Products": "part", "Stores": "supplier", "Promotions": "all_promotions", "RetailEvents": "sales"}
+_ATTEMPT_CODES = {
+    "unknown products": "CASE WHEN EXISTS (SELECT 1 FROM sales WHERE product_id NOT IN (SELECT product_id FROM products)) THEN 51007 ELSE 0 END",
+    "too few promotions": "51003",
+    "clean": "0",
+    "invalid lines": f"CASE WHEN EXISTS (SELECT 1 FROM judged WHERE {_BAD}) THEN 50004 ELSE 0 END",
+}
+
+
+@query(
+    "retail_load",
+    " UNION ALL ".join(
+        f"SELECT '{attempt}' AS attempt, {code} AS code, '{name}' AS table_name, "
+        + (f"(SELECT count(*) FROM {rows})" if attempt in ("clean", "invalid lines") else "CAST(0 AS BIGINT)")
+        + " AS visible_records, "
+        + (
+            "(SELECT CAST(sum(final_price) AS DOUBLE) FROM sales)"
+            if name == "RetailEvents" and attempt in ("clean", "invalid lines")
+            else "CAST(NULL AS DOUBLE)"
+        )
+        + " AS visible_sales"
+        for attempt, code in _ATTEMPT_CODES.items()
+        for name, rows in _LOADED.items()
+    ),
+    "sales judged products all_promotions",
+)
+def _(spark, sf_dir):
+    """Four loads in a row, two stopped before anything is published and one after, and what readers see then."""
+    base = scratch(spark, "retail")
+    lines = retail_events(spark, sf_dir)
+    clean_lines = lines.select(
+        *[F.col(c).cast("string").alias(c) for c in RETAIL_EVENTS_RAW.fieldNames()]
+    )
+    promotions = retail_promotions(spark, sf_dir).count()
+    staged = {
+        "Products": retail_products(spark, sf_dir),
+        "Stores": retail_stores(spark, sf_dir),
+        "Promotions": retail_promotions(spark, sf_dir),
+        "RetailEvents": clean_lines,
+    }
+    attempts = {
+        "unknown products": (staged | {"Products": retail_products(spark, sf_dir, gaps=True)}, promotions),
+        "too few promotions": (staged, promotions + 1),
+        "clean": (staged, promotions),
+        "invalid lines": (staged | {"RetailEvents": landed_retail_events(spark, sf_dir)}, promotions),
+    }
+    seen = []
+    for attempt, (tables, wanted) in attempts.items():
+        code = 0
+        try:
+            load.retail_load(tables, base, expected={"Promotions": (wanted, EXPECTED_COUNTS["Promotions"][1])})
+        except quality.LoadRejected as stop:
+            code = stop.code
+        for name in tables:
+            rows = load.published_table(spark, base, name)
+            if rows is None:
+                rows = spark.createDataFrame([], "final_price decimal(12,2)")
+            sales = F.sum("final_price") if "final_price" in rows.columns else F.lit(None)
+            seen.append(
+                rows.agg(F.count(F.lit(1)).alias("visible_records"), sales.cast("double").alias("visible_sales")).select(
+                    F.lit(attempt).alias("attempt"),
+                    F.lit(code).alias("code"),
+                    F.lit(name).alias("table_name"),
+                    "visible_records",
+                    "visible_sales",
+                )
+            )
+    return reduce(DataFrame.unionByName, seen)
+
+
 # --- Summaries --------------------------------------------------------------------------------
 
 

@@ -211,33 +211,33 @@ FROM (
   FROM landed) c
 """,
     ),
-    "products": (
+    "all_products": (
         "",
         """
 SELECT 'P' || p_partkey AS product_id, p_name AS product_name, p_type AS category,
   CAST(p_retailprice AS DECIMAL(12,2)) AS base_unit_price, p_partkey
-FROM part WHERE p_partkey % 50 <> 0
+FROM part
 """,
     ),
-    "stores": (
+    "products": ("all_products", "SELECT * FROM all_products WHERE p_partkey % 50 <> 0"),
+    "stores": ("all_stores", "SELECT * FROM all_stores WHERE CAST(substr(store_id, 4) AS BIGINT) % 7 <> 0"),
+    "promotions": ("all_promotions", "SELECT * FROM all_promotions WHERE promotion_id <> 'PR010'"),
+    "all_stores": (
         "",
         """
 SELECT 'ST-' || s_suppkey AS store_id, s_name AS store_city, n_name AS province, r_name AS store_region
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-WHERE s_suppkey % 7 <> 0
 """,
     ),
-    "promotions": (
+    "all_promotions": (
         "",
         """
-SELECT * FROM (
 SELECT 'PR' || lpad(CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR), 3, '0') AS promotion_id,
   'P' || min(l_partkey) AS product_id,
   'Discount ' || CAST(round(l_discount * 100) AS INTEGER) AS promotion_name,
   CAST(min(l_shipdate) AS DATE) AS start_date, CAST(max(l_shipdate) AS DATE) AS end_date,
   CAST(CAST(round(l_discount * 100) AS INTEGER) * 0.01 AS DECIMAL(6,4)) AS discount_rate
-FROM lineitem WHERE l_discount >= 0.05 GROUP BY round(l_discount * 100))
-WHERE promotion_id <> 'PR010'
+FROM lineitem WHERE l_discount >= 0.05 GROUP BY round(l_discount * 100)
 """,
     ),
     "scores": (

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from tests.rows import frame_rows
 from tradeloom.operators import events as ev
 from tradeloom.operators import state
+from tradeloom.plans import queries_events
+from tradeloom.plans.catalog import QUERIES
 from tradeloom.plans.driver_tables import event_log, table
 from tradeloom.schemas import TOPIC_FAMILIES, topic_pattern
 from tradeloom.sources.external import RATE_LIMITS, kafka_options
@@ -288,3 +290,14 @@ def test_kafka_options():
     assert options["subscribePattern"] == topic_pattern(jobs.ALERT_FAMILIES)
     assert "fx" not in options["subscribePattern"]
     assert RATE_LIMITS["events"] == 20
+
+
+def test_complete_sink_gives_kpis_of_first_arrivals(spark, late_log, sf_dir, monkeypatch):
+    """Over nine files, with the first arrivals last: all KPIs, in a number of versions that the files do not set."""
+    written = []
+    write = sinks.write_version
+    monkeypatch.setattr(queries_events, "landed_log", lambda *_: late_log)
+    monkeypatch.setattr(sinks, "write_version", lambda rows, n, path: (written.append(n), write(rows, n, path)))
+    got = QUERIES["complete_stream_sink"](spark, sf_dir)
+    assert frame_rows(got) == frame_rows(QUERIES["currency_kpis"](spark, sf_dir))
+    assert 1 < len(set(written)) <= 4

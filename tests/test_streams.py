@@ -301,3 +301,24 @@ def test_complete_sink_gives_kpis_of_first_arrivals(spark, late_log, sf_dir, mon
     got = QUERIES["complete_stream_sink"](spark, sf_dir)
     assert frame_rows(got) == frame_rows(QUERIES["currency_kpis"](spark, sf_dir))
     assert 1 < len(set(written)) <= 4
+
+
+def test_rate_limited_jobs_run_side_by_side(spark, sf_dir, monkeypatch):
+    """Both jobs are started before either is waited for, and each reads every record."""
+    done = []
+    start = sinks.batch_sink
+
+    class Watched:
+        def __init__(self, query):
+            done.append("start")
+            self.query = query
+
+        def awaitTermination(self):
+            done.append("wait")
+            self.query.awaitTermination()
+
+    monkeypatch.setattr(sinks, "batch_sink", lambda *args: Watched(start(*args)))
+    got = {r.job: (r.records, r.largest_batch, r.over_limit) for r in QUERIES["rate_limit"](spark, sf_dir).collect()}
+    n = table(spark, sf_dir, "events").count()
+    assert got == {job: (n, min(n, RATE_LIMITS[job]), 0) for job in ("kpis", "alerts")}
+    assert done == ["start", "start", "wait", "wait"]

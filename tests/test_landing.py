@@ -2,6 +2,10 @@
 
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
 from tradeloom.plans.driver_tables import event_log, landed_log, table
 
 
@@ -15,3 +19,28 @@ def test_the_landed_log_is_whole_and_small(spark, sf_dir, tmp_path):
     landed = landed_log(spark, sf_dir)
     assert spark.read.parquet(landed).exceptAll(rows).isEmpty() and spark.read.parquet(landed).count() == rows.count()
     assert size(landed) < 0.75 * size(plain)
+
+
+def test_staged_lines_are_read_without_a_copy_of_them(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr("tradeloom.plans.driver_tables.landed", lambda *_: pytest.fail("a copy was written"))
+    gates = entry.queries()["fail_fast_gate"](spark, sf_dir).collect()
+    assert {(g.table_name, g.stopped, g.code) for g in gates} == {
+        ("Products", True, 50001), ("RetailEvents", True, 50004), ("Stores", False, 0)
+    }
+
+
+def test_a_single_invalid_line_at_the_end_stops_the_load(spark, sf_dir, tmp_path):
+    # Only the last line of the table has a part whose key plants a fault.
+    lines = table(spark, sf_dir, "lineitem").withColumn("l_partkey", F.lit(1).cast("long"))
+    last = lines.agg(F.max(F.struct("l_orderkey", "l_linenumber"))).first()[0]
+    is_last = (F.col("l_orderkey") == last[0]) & (F.col("l_linenumber") == last[1])
+    for folder, part in (("good", 1), ("bad", 97)):
+        for name in ("part", "supplier", "nation", "region", "orders"):
+            table(spark, sf_dir, name).write.parquet(f"{tmp_path}/{folder}/{name}.parquet")
+        changed = lines.withColumn("l_partkey", F.when(is_last, part).otherwise(F.col("l_partkey")).cast("long"))
+        changed.orderBy("l_orderkey", "l_linenumber").write.parquet(f"{tmp_path}/{folder}/lineitem.parquet")
+    stopped = {
+        folder: {g.table_name: g.code for g in entry.queries()["fail_fast_gate"](spark, f"{tmp_path}/{folder}").collect()}
+        for folder in ("good", "bad")
+    }
+    assert (stopped["good"]["RetailEvents"], stopped["bad"]["RetailEvents"]) == (0, 50004)

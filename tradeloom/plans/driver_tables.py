@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from tradeloom.functions import from_choices
 from tradeloom.operators.events import route_topic
@@ -340,16 +340,11 @@ def retail_events(
 def landed_retail_events(
     spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None
 ) -> DataFrame:
-    """The landed retail lines; see ``retail_lines``."""
-    names = list(_RETAIL_NAMES if columns is None else columns)
-    per_file = _per_file(table(spark, sf_dir, "lineitem"))
-    path = landed(spark, f"retail:{sf_dir}", lambda: retail_lines(spark, sf_dir), per_file)
-    return spark.read.schema(StructType([StructField(n, StringType()) for n in _RETAIL_NAMES])).parquet(path).select(names)
-
+    """``retail_events`` as they are landed: all text, with faults planted by part key.
 
-def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``retail_events`` as text, with faults planted by part key."""
-    names = _RETAIL_NAMES
+    A query reads them once, so they are derived where they are read and no copy is written.
+    """
+    names = list(_RETAIL_NAMES if columns is None else columns)
     typed = retail_events(spark, sf_dir, [*names, "part_key"])
     k = F.col("part_key")
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tradeloom.plans.driver_tables import event_log, landed_log, table
+from tradeloom.plans.driver_tables import event_log, landed_log, retail_events, table
 
 
 def test_the_landed_log_is_whole_and_small(spark, sf_dir, tmp_path):
@@ -44,3 +44,20 @@ def test_a_single_invalid_line_at_the_end_stops_the_load(spark, sf_dir, tmp_path
         for folder in ("good", "bad")
     }
     assert (stopped["good"]["RetailEvents"], stopped["bad"]["RetailEvents"]) == (0, 50004)
+
+
+def test_lines_are_narrow_where_large_tables_are_joined(spark, sf_dir):
+    # At size the joins with orders and parts shuffle; names of stores and regions must not go through them.
+    rows = retail_events(spark, sf_dir)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if " Join " in line or line.startswith("Join ")]
+    keys = [next(k for k in ("o_orderkey", "p_partkey", "s_suppkey", "n_nationkey", "r_regionkey") if k in j) for j in joins]
+    # The plan is printed from its last join to its first.
+    assert keys == ["r_regionkey", "n_nationkey", "s_suppkey", "p_partkey", "o_orderkey"]
+    assert rows.count() == table(spark, sf_dir, "lineitem").count()
+
+
+def test_lines_are_staged_as_csv_in_one_pass(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr("tradeloom.plans.driver_tables.landed", lambda *_: pytest.fail("a copy was written"))
+    staged = entry.queries()["csv_staging_scan"](spark, sf_dir)
+    assert staged.count() == table(spark, sf_dir, "lineitem").count()

@@ -47,20 +47,25 @@ def _project(
     joins: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]],
     wanted: Iterable[str] | None,
 ) -> DataFrame:
-    """Select ``wanted`` from ``base`` with the joins those columns need, prerequisites first."""
+    """Select ``wanted`` from ``base`` with the joins those columns need, in the order of ``joins``.
+
+    A join comes after its prerequisite. The largest tables come first: these are the joins that shuffle, and
+    rows are narrow before the columns of the smaller tables are joined on.
+    """
     names = list(wanted) if wanted is not None else list(columns)
-    needed: list[str] = []
+    needed: set[str] = set()
 
     def require(join: str) -> None:
         if join and join not in needed:
             require(joins[join][0])
-            needed.append(join)
+            needed.add(join)
 
     for name in names:
         for join in columns[name][0].split():
             require(join)
-    for join in needed:
-        base = joins[join][1](base)
+    for join in joins:
+        if join in needed:
+            base = joins[join][1](base)
     return base.select(*[columns[n][1].alias(n) for n in names])
 
 
@@ -129,6 +134,12 @@ def transactions(
         return table(spark, sf_dir, name).selectExpr(*pairs)
 
     joins = {
+        "lines": (
+            "",
+            lambda d: d.join(
+                first_line_facts(table(spark, sf_dir, "lineitem")), key == F.col("l_orderkey"), "left"
+            ),
+        ),
         "customer": (
             "",
             lambda d: d.join(
@@ -145,12 +156,6 @@ def transactions(
                 "left",
             ),
         ),
-        "lines": (
-            "",
-            lambda d: d.join(
-                first_line_facts(table(spark, sf_dir, "lineitem")), key == F.col("l_orderkey"), "left"
-            ),
-        ),
         "supplier": (
             "lines",
             lambda d: d.join(
@@ -296,7 +301,7 @@ def retail_events(
         "product_name": ("part", F.col("p_name")),
         "category": ("part", F.col("p_type")),
         "quantity": ("", F.col("l_quantity").cast("smallint")),
-        "unit_price": ("part", F.col("p_retailprice").cast(PRICE)),
+        "unit_price": ("part", F.col("unit_price")),
         "discount_amount": ("", discount),
         "final_price": ("", (gross - discount).cast(PRICE)),
         "promotion_flag": ("", F.when(promoted, "Y").otherwise("N")),
@@ -314,22 +319,24 @@ def retail_events(
         "part_key": ("", F.col("l_partkey")),
     }
 
-    def dimension(name: str, fact_key: str, primary_key: str, *rest: str):
+    def dimension(name: str, fact_key: str, primary_key: str, *rest: str | Column):
         return lambda d: d.join(
             table(spark, sf_dir, name).select(primary_key, *rest),
             F.col(fact_key) == F.col(primary_key),
             "left",
         )
 
+    # The price is read once per part, not once per line.
+    price = F.col("p_retailprice").cast(PRICE).alias("unit_price")
     joins = {
+        "orders": ("", dimension("orders", "l_orderkey", "o_orderkey", "o_orderpriority")),
+        "part": ("", dimension("part", "l_partkey", "p_partkey", "p_name", "p_type", price)),
         "supplier": ("", dimension("supplier", "l_suppkey", "s_suppkey", "s_name", "s_nationkey")),
         "nation": (
             "supplier",
             dimension("nation", "s_nationkey", "n_nationkey", "n_name", "n_regionkey"),
         ),
         "region": ("nation", dimension("region", "n_regionkey", "r_regionkey", "r_name")),
-        "part": ("", dimension("part", "l_partkey", "p_partkey", "p_name", "p_type", "p_retailprice")),
-        "orders": ("", dimension("orders", "l_orderkey", "o_orderkey", "o_orderpriority")),
     }
     default = [c for c in specs if c != "part_key"]
     return _project(

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tests.rows import frame_rows
 from tradeloom.plans.driver_tables import event_log, landed_log, retail_events, table
 
 
@@ -61,3 +62,11 @@ def test_lines_are_staged_as_csv_in_one_pass(spark, sf_dir, monkeypatch):
     monkeypatch.setattr("tradeloom.plans.driver_tables.landed", lambda *_: pytest.fail("a copy was written"))
     staged = entry.queries()["csv_staging_scan"](spark, sf_dir)
     assert staged.count() == table(spark, sf_dir, "lineitem").count()
+
+
+@pytest.mark.parametrize("name", ["cell_versions", "latest_state_by_key"])
+def test_a_batch_query_reads_the_log_without_a_copy_of_it(spark, sf_dir, monkeypatch, name):
+    want = frame_rows(entry.queries()[name](spark, sf_dir))
+    monkeypatch.setattr("tradeloom.plans.driver_tables.landed", lambda *_: pytest.fail("a copy was written"))
+    monkeypatch.setattr("tradeloom.plans.queries_events.landed_log", lambda *_: pytest.fail("a copy was written"))
+    assert frame_rows(entry.queries()[name](spark, sf_dir)) == want
